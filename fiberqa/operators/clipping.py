@@ -27,8 +27,8 @@ def _limits_of_sorted(values: str, sigma: float, rounds: int) -> str:
       (s, i) -> transform(array(filter({values}, x -> x >= s.lo AND x <= s.hi)), k ->
         transform(array(named_struct(
             'mid', (get(k, int((size(k) - 1) / 2)) + get(k, int(size(k) / 2))) / 2D,
-            'mean', aggregate(k, 0D, (a, x) -> a + x) / size(k))), m ->
-          transform(array(sqrt(aggregate(k, 0D, (a, x) -> a + (x - m.mean) * (x - m.mean)) / size(k))), sd ->
+            'mean', try_divide(aggregate(k, 0D, (a, x) -> a + x), size(k)))), m ->
+          transform(array(sqrt(try_divide(aggregate(k, 0D, (a, x) -> a + (x - m.mean) * (x - m.mean)), size(k)))), sd ->
             named_struct('lo', greatest(s.lo, m.mid - {sigma}D * sd),
                          'hi', least(s.hi, m.mid + {sigma}D * sd)))[0])[0])[0])
     """
@@ -49,14 +49,13 @@ def clip_limits(
     """
     keys = list(keys)
     if fits_one_task(df):
-        arrays = df.groupBy(*keys).agg(
-            *[F.sort_array(F.collect_list(F.col(c).cast("double"))).alias(f"__v_{c}") for c in columns]
+        # Inside the aggregation, so that the optimizer does not copy the expression around.
+        found = df.groupBy(*keys).agg(
+            *[
+                F.expr(_limits_of_sorted(f"sort_array(collect_list(double(`{c}`)))", sigma, rounds)).alias(f"__s_{c}")
+                for c in columns
+            ]
         )
-        found = arrays
-        for c in columns:
-            found = found.withColumn(
-                f"__s_{c}", F.expr(f"CASE WHEN size(`__v_{c}`) > 0 THEN {_limits_of_sorted(f'`__v_{c}`', sigma, rounds)} END")
-            )
         return found.select(
             *keys,
             *[F.col(f"__s_{c}.{end}").alias(f"{c}_{end}") for c in columns for end in ("lo", "hi")],
@@ -165,23 +164,17 @@ def soften_fit(
     """
     keys = list(keys)
     if fits_one_task(df):
-        lists = [
-            F.collect_list(
-                F.when(
-                    F.col(r).isNotNull() & F.col(e).isNotNull(),
-                    F.struct((F.col(r) * F.col(r)).alias("r2"), (F.col(e) * F.col(e)).alias("e2")),
-                )
-            ).alias(f"__v_{name}")
-            for name, (r, e) in pairs.items()
-        ]
-        grouped = df.groupBy(*keys).agg(
-            *lists,
-            *[(F.count(r) - num_params / 2.0).alias(f"__dof_{name}") for name, (r, _) in pairs.items()],
-        )
-        return grouped.select(
-            *keys,
-            *[F.expr(_soften_sql(f"`__v_{n}`", f"`__dof_{n}`", max_soften)).alias(n) for n in pairs],
-        )
+        fits = []
+        for name, (r, e) in pairs.items():
+            both = f"`{r}` IS NOT NULL AND `{e}` IS NOT NULL"
+            squares = f"named_struct('r2', `{r}` * `{r}`, 'e2', `{e}` * `{e}`)"
+            group = (
+                f"named_struct('pairs', collect_list(CASE WHEN {both} THEN {squares} END), "
+                f"'dof', count(`{r}`) - {num_params / 2.0}D)"
+            )
+            solved = _soften_sql("g.pairs", "g.dof", max_soften)
+            fits.append(F.expr(f"transform(array({group}), g -> {solved})[0]").alias(name))
+        return df.groupBy(*keys).agg(*fits)
 
     # Every pass evaluates chi2 at a row of trial values inside the bracket, so that each
     # pass over the data narrows the bracket by that many times.

@@ -45,12 +45,14 @@ def residual_columns(lines: DataFrame) -> DataFrame:
 
 def scrub(lines: DataFrame, remove_flagged: bool = True, used_or_reserved: bool = True) -> DataFrame:
     """Residual rows worth keeping: unflagged, used or reserved, with a position."""
-    out = residual_columns(lines)
+    # Filters come first, on plain columns: filters on derived ones make the optimizer infer
+    # a great many constraints.
+    kept = F.col("x").isNotNull() & F.col("y").isNotNull()
     if remove_flagged:
-        out = out.where(~F.col("flag"))
+        kept = kept & ~F.col("flag")
     if used_or_reserved:
-        out = out.where(F.col("isUsed") | F.col("isReserved"))
-    return out.na.drop(how="all").na.drop(subset=["x", "y"])
+        kept = kept & S.has_any("status", S.USED | S.RESERVED)
+    return residual_columns(lines.where(kept))
 
 
 def residual_data(
