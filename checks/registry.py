@@ -41,7 +41,9 @@ def case(name: str, rows: str, views: str = "", sql: str | None = None, doubles:
                 # Further CTEs of the query follow those of the views.
                 extra, body = _split_with(body)
             replace = f" REPLACE ({replaced})" if replaced else ""
-            head = ctes(*views.split())
+            head = ctes(*views.split()) if views else "WITH RECURSIVE " + extra.removeprefix(",\n")
+            head = head if views or extra else ""
+            extra = extra if views else ""
             ORACLES[name] = f"{head}{extra}\nSELECT *{replace} FROM (\n{body}\n) AS answer"
         return fn
 

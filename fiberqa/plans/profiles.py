@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.binning import histogram
 
@@ -14,9 +15,17 @@ RANGES = {"variation": (0.0, 0.03), "max": (0.1, 0.5)}
 
 
 def profile_histograms(
-    profiles: DataFrame, keys: Sequence[str] = ("arm", "spectrograph"), n: int = 30,
-    measures: Sequence[str] = MEASURES, lo: float = -1.0, hi: float = 1.0,
+    profiles: DataFrame,
+    keys: Sequence[str] = ("arm", "spectrograph"),
+    n: int = 30,
+    measures: Sequence[str] = MEASURES,
+    default: tuple[float, float] = (-1.0, 1.0),
 ) -> DataFrame:
-    """Counts per detector, measure and bin over one common range."""
+    """Counts per detector, measure and bin, over the measure's range or the default one."""
     long = profiles.select(*keys, *measures).unpivot(list(keys), list(measures), "measure", "value")
-    return histogram(long, [*keys, "measure"], "value", n, lo, hi)
+    low, high = F.lit(default[0]), F.lit(default[1])
+    for name, (a, b) in RANGES.items():
+        low = F.when(F.col("measure") == name, F.lit(a)).otherwise(low)
+        high = F.when(F.col("measure") == name, F.lit(b)).otherwise(high)
+    ranged = long.withColumns({"lo": low, "hi": high})
+    return histogram(ranged, [*keys, "measure"], "value", n, "lo", "hi")
