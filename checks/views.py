@@ -136,7 +136,7 @@ FROM {{lineitem}}
 """,
     # sampled wavelength calibration of both arms
     "calibration": """
-SELECT arm, CAST(1 + f % 4 AS INT) AS spectrograph, CAST(f AS INT) AS fiberId, p * 30.0D0 AS row, 600.0D0 + p * 2.0D0 + (p * p) % 7 * 0.0314159D0 + k * 0.0271828D0 AS wavelength
+SELECT arm, CAST(1 + f % 4 AS INT) AS spectrograph, CAST(f AS INT) AS fiberId, p * 30.0D0 AS row, 600.0D0 + p * 2.0D0 + (p * p) % 7 / 31.0D0 + k / 37.0D0 AS wavelength
 FROM (SELECT CASE WHEN l_linestatus = 'F' THEN 'r' ELSE 'n' END AS arm, l_suppkey AS f, l_partkey % 100 AS p, max(l_linenumber) AS k
   FROM {lineitem} GROUP BY 1, 2, 3) AS c
 """,

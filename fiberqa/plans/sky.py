@@ -112,7 +112,8 @@ def build_reference(
     fibers = fibers.withColumn("__salt", F.pmod(F.hash("fiberId"), F.lit(SALTS)))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     grid = reference_grid(usable, keys).withColumn("__salt", salts).join(fibers, [*keys, "__salt"]).drop("__salt")
-    on_grid = interpolate(grid, usable.select(*keys, "fiberId", "wavelength", "__m"), [*keys, "fiberId"], "wavelength", "__m", "value")
+    knots = usable.select(*keys, "fiberId", "wavelength", "__m")
+    on_grid = interpolate(cut_if_large(grid), knots, [*keys, "fiberId"], "wavelength", "__m", "value")
     group = [*keys, "wavelength"]
     if func == "median":
         return group_stats(on_grid, group, [F.count("value").alias("fibers")], {"value": ("value", 0.5)})
