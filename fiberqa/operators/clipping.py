@@ -14,7 +14,7 @@ from .ordering import group_stats, value_counts
 CLIP_SIGMA = 3.0
 CLIP_ROUNDS = 5
 
-_SOFTEN_STEPS = 45
+_SOFTEN_STEPS = 36
 _SOFTEN_PASSES = 7
 _SOFTEN_CUTS = 32
 
@@ -48,7 +48,7 @@ def clip_limits(
     interval, so the rounds need the value counts only and not the rows.
     """
     keys = list(keys)
-    if fits_one_task(df):
+    if fits_one_task(df.select(*keys, *columns)):
         # Inside the aggregation, so that the optimizer does not copy the expression around.
         found = df.groupBy(*keys).agg(
             *[
@@ -132,10 +132,9 @@ def _soften_sql(pairs: str, dof: str, top: float) -> str:
     """SQL for the root of chi2(s)/dof = 1 over one array of (r2, e2)."""
 
     def excess(s: str) -> str:
-        term = (
-            f"CASE WHEN p.e2 + {s} * {s} > 0 THEN p.r2 / (p.e2 + {s} * {s}) "
-            "WHEN p.r2 > 0 THEN double('Infinity') ELSE 0D END"
-        )
+        term = f"p.r2 / (p.e2 + {s} * {s})"
+        if s == "0D":
+            term = "CASE WHEN p.e2 > 0 THEN p.r2 / p.e2 WHEN p.r2 > 0 THEN double('Infinity') ELSE 0D END"
         return f"(aggregate({pairs}, 0D, (a, p) -> a + {term}) / {dof} - 1D)"
 
     steps = f"""
@@ -163,7 +162,7 @@ def soften_fit(
     there are no rows, NULL when even the largest softening is too little.
     """
     keys = list(keys)
-    if fits_one_task(df):
+    if fits_one_task(df.select(*keys, *dict.fromkeys(c for pair in pairs.values() for c in pair))):
         fits = []
         for name, (r, e) in pairs.items():
             both = f"`{r}` IS NOT NULL AND `{e}` IS NOT NULL"

@@ -116,7 +116,7 @@ def order_statistics(
     df: DataFrame, keys: list[str], column: str, ranks: dict[str, Callable[[Column], Column]]
 ) -> DataFrame:
     """Values at 0-based ranks that may depend on the group size; also the size as ``n``."""
-    if fits_one_task(df):
+    if fits_one_task(df.select(*keys, column)):
         sorted_values = (
             df.where(F.col(column).isNotNull())
             .groupBy(*keys)
@@ -148,7 +148,8 @@ def group_stats(
     keys, quantiles = list(keys), quantiles or {}
     if keys:
         df = df.na.drop(subset=keys)
-    if fits_one_task(df) or not quantiles:
+    used = list(dict.fromkeys([*keys, *[c for c, _ in quantiles.values()], *([times] if times else [])]))
+    if not quantiles or fits_one_task(df.select(*used)):
         packed: dict[str, list[tuple[str, float]]] = {}
         for name, (column, p) in quantiles.items():
             packed.setdefault(column, []).append((name, float(p)))

@@ -85,8 +85,20 @@ def fit_stats(
     if clipped_only:
         rows = rows.where(~F.col("xResidOutlier"))
     line = F.col("isLine") & F.col("yResid").isNotNull()
-    rows = rows.withColumns({"__y": F.when(line, F.col("yResid")), "__yErr": F.when(line, F.col("yErr"))})
-    rows = cut_if_large(rows)
+    rows = cut_if_large(
+        rows.select(
+            *keys,
+            "fiberId",
+            "wavelength",
+            "isTrace",
+            line.alias("__line"),
+            "xResid",
+            "xErr",
+            F.when(line, F.col("yResid")).alias("__y"),
+            F.when(line, F.col("yErr")).alias("__yErr"),
+        )
+    )
+    line = F.col("__line")
     half = num_params / 2.0
     stats = group_stats(
         rows,
@@ -98,9 +110,6 @@ def fit_stats(
             T.chi2("__y", "__yErr").alias("chi2Y"),
             T.weighted_rms("xResid", "xErr").alias("xWeighted"),
             T.weighted_rms("__y", "__yErr").alias("yWeighted"),
-            F.count_distinct(F.when(F.col("isTrace"), F.col("fiberId"))).alias("xFibers"),
-            F.count_distinct(F.when(line, F.col("fiberId"))).alias("yFibers"),
-            F.count_distinct(F.when(line, F.col("wavelength"))).alias("yLines"),
         ],
         {
             "x25": ("xResid", 0.25),
@@ -112,7 +121,13 @@ def fit_stats(
         },
     )
     soft = soften_fit(rows, keys, {"xSoft": ("xResid", "xErr"), "ySoft": ("__y", "__yErr")}, num_params)
-    joined = stats.join(soft, keys)
+    # Distinct counts multiply their input rows, so they get an aggregation of their own.
+    numbers = rows.groupBy(*keys).agg(
+        F.count_distinct(F.when(F.col("isTrace"), F.col("fiberId"))).alias("xFibers"),
+        F.count_distinct(F.when(line, F.col("fiberId"))).alias("yFibers"),
+        F.count_distinct(F.when(line, F.col("wavelength"))).alias("yLines"),
+    )
+    joined = stats.join(soft, keys).join(numbers, keys)
 
     def part(a: str, lines_column: str):
         return F.struct(
@@ -156,12 +171,13 @@ def plot_rows(rows: DataFrame, column: str) -> DataFrame:
 
 def fiber_summary(rows: DataFrame, column: str, keys: Sequence[str] = DATASET) -> DataFrame:
     """Count, median and weighted RMS per fiber, status and outlier flag."""
+    group, err = [*keys, "fiberId", "status", "isOutlier"], f"{column[0]}Err"
     return group_stats(
-        rows,
-        [*keys, "fiberId", "status", "isOutlier"],
+        cut_if_large(rows.select(*group, column, err)),
+        group,
         [
             F.count(F.lit(1)).alias("count"),
-            T.weighted_rms(column, f"{column[0]}Err").alias("weightedRms"),
+            T.weighted_rms(column, err).alias("weightedRms"),
         ],
         {"median": (column, 0.5)},
     )
@@ -184,9 +200,10 @@ def outlier_fibers(summary: DataFrame, rms: DataFrame, keys: Sequence[str] = DAT
 
 def binned_residual(rows: DataFrame, column: str, step: float, keys: Sequence[str] = DATASET) -> DataFrame:
     """Median wavelength and residual per wavelength bin, status and outlier flag."""
-    binned = step_bin(rows.na.drop(subset=["wavelength"]), keys, "wavelength", step, "bin")
+    rows = rows.na.drop(subset=["wavelength"]).select(*keys, "status", "isOutlier", "wavelength", column)
+    binned = step_bin(cut_if_large(rows), keys, "wavelength", step, "bin")
     return group_stats(
-        binned.na.drop(subset=[column]),
+        cut_if_large(binned.na.drop(subset=[column])),
         [*keys, "bin", "status", "isOutlier"],
         quantiles={"wavelength": ("wavelength", 0.5), column: (column, 0.5)},
     )

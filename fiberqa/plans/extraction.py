@@ -123,11 +123,22 @@ def chi_by_row(pixels: DataFrame, keys: Sequence[str] = DATASET) -> DataFrame:
 
 def image_summary(pixels: DataFrame, keys: Sequence[str] = DATASET, planes: Sequence[str] = PLANES) -> DataFrame:
     """Mean, median, percentiles and robust sigma of every image plane."""
-    long = image_residuals(pixels).select(*keys, *planes).unpivot(list(keys), list(planes), "plane", "v")
-    marks = {f"q{p:02d}": ("v", p / 100.0) for p in (1, 5, 25, 50, 75, 95, 99)}
-    out = group_stats(long, [*keys, "plane"], [F.avg("v").alias("mean")], marks)
-    sigma = (F.col("q75") - F.col("q25")) * T.IQR_ROBUST
-    return out.withColumnRenamed("q50", "median").withColumn("sigma", sigma)
+    rows = image_residuals(pixels).select(*keys, *planes)
+    percents = (1, 5, 25, 50, 75, 95, 99)
+    marks = {f"{p}_q{q:02d}": (p, q / 100.0) for p in planes for q in percents}
+    wide = group_stats(rows, keys, [F.avg(p).alias(f"{p}_mean") for p in planes], marks)
+    per_plane = F.array(
+        *[
+            F.struct(
+                F.lit(p).alias("plane"),
+                F.col(f"{p}_mean").alias("mean"),
+                *[F.col(f"{p}_q{q:02d}").alias("median" if q == 50 else f"q{q:02d}") for q in percents],
+            )
+            for p in planes
+        ]
+    )
+    out = wide.select(*keys, F.explode(per_plane).alias("__p")).select(*keys, "__p.*")
+    return out.withColumn("sigma", (F.col("q75") - F.col("q25")) * T.IQR_ROBUST)
 
 
 def color_range(table: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
