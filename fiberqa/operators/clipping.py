@@ -117,6 +117,7 @@ def sigma_clip(
     """Flag clipped rows. ``columns`` maps a value column to its flag; a missing value is
     flagged. Rows with a missing key belong to no group and are dropped.
     """
+    df = df.na.drop(subset=list(keys))
     limits = clip_limits(df, keys, list(columns), sigma, rounds)
     flags = {
         flag: ~F.coalesce(
@@ -125,7 +126,7 @@ def sigma_clip(
         for c, flag in columns.items()
     }
     drop = [f"{c}_{end}" for c in columns for end in ("lo", "hi")]
-    return df.join(limits, list(keys)).withColumns(flags).drop(*drop)
+    return df.join(limits, list(keys), "left").withColumns(flags).drop(*drop)
 
 
 def _soften_sql(pairs: str, dof: str, top: float) -> str:

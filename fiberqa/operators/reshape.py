@@ -37,7 +37,9 @@ def rows_of_arrays(df: DataFrame, arrays: Sequence[str], position: str = "pix")
 
 
 def arrays_of_rows(df: DataFrame, keys: Sequence[str], position: str, values: Sequence[str]) -> DataFrame:
-    """Storage form: one row per spectrum, arrays ordered by position."""
+    """Storage form: one row per spectrum, arrays ordered by position. A spectrum has no more
+    pixels than the detector has rows.
+    """
     packed = F.sort_array(F.collect_list(F.struct(position, *values))).alias("__v")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"__v.{v}").alias(v) for v in values])
 

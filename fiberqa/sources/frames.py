@@ -54,17 +54,18 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="fiberqa-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fiberqa-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    The result has a short lineage, survives lost executors and has a real size.
+    The result has a short lineage, survives lost executors and has a real size. All cuts of
+    an application lie in one folder, named after it, that can go when the application ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    application = df.sparkSession.sparkContext.applicationId
+    path = f"{shared_folder(df.sparkSession)}/{application}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
