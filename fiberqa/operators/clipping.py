@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.frames import cut, fits_one_task
-from .ordering import group_stats, value_counts
+from .ordering import group_stats
 
 # Clipping width and rounds.
 CLIP_SIGMA = 3.0
@@ -45,7 +45,7 @@ def clip_limits(
 
     Each round takes median and population deviation of the values still inside and keeps
     those within ``sigma`` deviations, the limits included. What survives is always an
-    interval, so the rounds need the value counts only and not the rows.
+    interval, so a round passes on two numbers per group and no rows.
     """
     keys = list(keys)
     if fits_one_task(df.select(*keys, *columns)):
@@ -61,14 +61,11 @@ def clip_limits(
             *[F.col(f"__s_{c}.{end}").alias(f"{c}_{end}") for c in columns for end in ("lo", "hi")],
         )
 
-    counts = cut(
-        value_counts(df, keys, columns).withColumnsRenamed(
-            {"__metric": "__series", "__x": "__value", "__c": "__times"}
-        )
-    )
-    grouping = [*keys, "__series"]
+    values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    rows = cut(values.unpivot(keys, list(columns), "__series", "__value").where(F.col("__value").isNotNull()))
+    series = [*keys, "__series"]
     limits = cut(
-        counts.groupBy(*grouping).agg(
+        rows.groupBy(*series).agg(
             F.min("__value").alias("__near"),
             F.lit(float("-inf")).alias("__lo"),
             F.lit(float("inf")).alias("__hi"),
@@ -76,33 +73,34 @@ def clip_limits(
     )
     for _ in range(rounds):
         inside = (
-            counts.join(limits, grouping)
+            rows.join(limits, series)
             .where((F.col("__value") >= F.col("__lo")) & (F.col("__value") <= F.col("__hi")))
             .withColumn("__d", F.col("__value") - F.col("__near"))
         )
         stats = group_stats(
             inside,
-            grouping,
+            series,
             [
-                F.first("__lo").alias("__lo"),
-                F.first("__hi").alias("__hi"),
-                (F.sum(F.col("__times") * F.col("__d")) / F.sum("__times")).alias("__d1"),
-                (F.sum(F.col("__times") * F.col("__d") * F.col("__d")) / F.sum("__times")).alias("__d2"),
+                F.max("__lo").alias("__lo"),
+                F.max("__hi").alias("__hi"),
+                F.avg("__d").alias("__d1"),
+                F.avg(F.col("__d") * F.col("__d")).alias("__d2"),
             ],
             {"__mid": ("__value", 0.5)},
-            times="__times",
         )
         width = F.sqrt(F.greatest(F.col("__d2") - F.col("__d1") * F.col("__d1"), F.lit(0.0))) * sigma
         limits = cut(
             stats.select(
-                *grouping,
+                *series,
                 F.col("__mid").alias("__near"),
                 F.greatest("__lo", F.col("__mid") - width).alias("__lo"),
                 F.least("__hi", F.col("__mid") + width).alias("__hi"),
             )
         )
     ends = [
-        F.max(F.when(F.col("__series") == c, F.col(f"__{end}"))).alias(f"{c}_{end}") for c in columns for end in ("lo", "hi")
+        F.max(F.when(F.col("__series") == c, F.col(f"__{end}"))).alias(f"{c}_{end}")
+        for c in columns
+        for end in ("lo", "hi")
     ]
     return limits.groupBy(*keys).agg(*ends)
 

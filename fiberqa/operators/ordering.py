@@ -2,14 +2,16 @@
 
 Spark's ``percentile`` gathers the distinct values of a group in one task, and a ranking
 window gathers all rows of it. Both are used here only when the whole input is small
-(:func:`fiberqa.sources.frames.fits_one_task`). Otherwise a group is counted in two steps:
+(:func:`fiberqa.sources.frames.fits_one_task`). Otherwise a wanted rank is closed in on:
 
-1. rows are counted per (group, value), a partial aggregation spread by value;
-2. these counts are summed per (group, bin), where a bin is a narrow range of values.
-   A running sum over the few bins tells how many values lie below each bin, so a wanted
-   rank falls into one known bin and only the values of that bin need ordering.
+1. rows are counted per group and coarse range of values; each task sends only its counts.
+   A running sum over the ranges of a group says which range holds the rank;
+2. only rows in such a range go on. They are counted per value, and in the same way per
+   fine range of values;
+3. only the values in the fine range that holds the rank are put in order.
 
-A group thus never has to be in one place. Results are exact either way.
+A group thus never has to be in one place, and most rows are never shuffled. Results are
+exact either way.
 """
 
 from __future__ import annotations
@@ -21,94 +23,100 @@ from pyspark.sql import functions as F
 
 from ..sources.frames import fits_one_task
 
-BINS_PER_OCTAVE = 1 << 20
+FINE = 1 << 20
+COARSE = 1 << 7
 _LARGEST_EXPONENT = 1100
 
 
-def value_bin(x: Column) -> Column:
-    """Number of the bin that holds ``x``; never falls as ``x`` grows.
+def value_bin(x: Column, per_octave: int = FINE) -> Column:
+    """Number of the range that holds ``x``; never falls as ``x`` grows.
 
-    Each power of two is cut into equal bins, about six digits apart, so measurements
-    that came from 32-bit floats have at most eight different values in a bin.
+    Each power of two is cut into equal ranges. Fine ones are about six digits apart, so
+    measurements that came from 32-bit floats have at most eight different values in one.
     """
     size = F.abs(x)
     exponent = F.floor(F.log2(size))
-    within = F.floor((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1.0) * float(BINS_PER_OCTAVE))
-    number = (exponent + _LARGEST_EXPONENT) * BINS_PER_OCTAVE + within
+    within = F.floor((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1.0) * float(per_octave))
+    number = (exponent + _LARGEST_EXPONENT) * per_octave + within
     return F.when(x > 0, number).when(x < 0, -number).otherwise(F.lit(0)).cast("long")
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str], times: str | None = None) -> DataFrame:
-    """Rows per (keys, __metric, __x) as ``__c``; ``__metric`` names the column that held ``__x``.
+def _long(df: DataFrame, keys: list[str], columns: Sequence[str]) -> DataFrame:
+    """Rows (keys, __metric, __x); ``__metric`` names the column that held ``__x``."""
+    values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    return values.unpivot(keys, list(columns), "__metric", "__x").where(F.col("__x").isNotNull())
 
-    ``times`` is a column saying how often a row counts.
-    """
-    ids = [*keys, *([times] if times else [])]
-    long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        ids, list(columns), "__metric", "__x"
-    )
-    return (
-        long.where(F.col("__x").isNotNull())
-        .groupBy(*keys, "__metric", "__x")
-        .agg((F.sum(times) if times else F.count(F.lit(1))).alias("__c"))
-    )
 
+def _running(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-def _counted(
-    df: DataFrame, keys: list[str], columns: Sequence[str], times: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Value counts with their bin, and per bin the number of values below it."""
-    counts = value_counts(df, keys, columns, times).withColumn("__bin", value_bin(F.col("__x")))
-    whole = Window.partitionBy(*keys, "__metric")
-    running = whole.orderBy("__bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = (
-        counts.groupBy(*keys, "__metric", "__bin")
-        .agg(F.sum("__c").alias("bin_count"))
-        .withColumn("below_bin", F.sum("bin_count").over(running) - F.col("bin_count"))
-        .withColumn("n", F.sum("bin_count").over(whole))
-    )
-    return counts, bins
 
+def _holding(below: str, count: str):
+    """The wanted ranks that fall among ``count`` values after the first ``below``."""
+    return F.expr(f"filter(__wants, w -> w.rank >= {below} AND w.rank < {below} + {count})")
 
-def _pick(
-    df: DataFrame,
-    keys: list[str],
-    wanted: dict[str, dict[str, Callable[[Column], Column]]],
-    times: str | None = None,
-) -> DataFrame:
+
+def _pick(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, Callable[[Column], Column]]]) -> DataFrame:
     """One row per group: for each name the value at its rank, with ``n_<column>``.
 
     ``wanted`` maps a column to {name: function of the group size giving a 0-based rank}.
     """
-    counts, bins = _counted(df, keys, list(wanted), times)
-    lists = F.lit(None)
+    series = [*keys, "__metric"]
+    rows = _long(df, keys, list(wanted)).withColumn("__range", value_bin(F.col("__x"), COARSE))
+
+    wants = F.lit(None)
     for column, ranks in wanted.items():
         entries = [
-            F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("long").alias("rank"))
+            F.struct(F.lit(name).alias("name"), rank(F.col("__n")).cast("long").alias("rank"))
             for name, rank in ranks.items()
         ]
-        lists = F.when(F.col("__metric") == column, F.array(*entries)).otherwise(lists)
-    targets = (
-        bins.withColumn("wants", lists)
+        wants = F.when(F.col("__metric") == column, F.array(*entries)).otherwise(wants)
+    place = [*series, "__range"]
+    ranges = (
+        rows.groupBy(*place)
+        .agg(F.count(F.lit(1)).alias("__c"))
+        .withColumn("__below", F.sum("__c").over(_running(Window.partitionBy(*series).orderBy("__range"))) - F.col("__c"))
+        .withColumn("__n", F.sum("__c").over(Window.partitionBy(*series)))
+        .withColumn("__wants", wants)
+        .withColumn("__wants", _holding("__below", "__c"))
+        .where(F.size("__wants") > 0)
+        .drop("__c")
+    )
+
+    counts = (
+        rows.join(ranges.select(*place), place)
+        .groupBy(*place, "__x")
+        .agg(F.count(F.lit(1)).alias("__c"))
+        .withColumn("__bin", value_bin(F.col("__x")))
+    )
+    bins = (
+        counts.groupBy(*place, "__bin")
+        .agg(F.sum("__c").alias("__b"))
+        .join(ranges, place)
         .withColumn(
-            "wants",
-            F.expr("filter(wants, w -> w.rank >= below_bin AND w.rank < below_bin + bin_count)"),
+            "__below",
+            F.col("__below") + F.sum("__b").over(_running(Window.partitionBy(*place).orderBy("__bin"))) - F.col("__b"),
         )
-        .where(F.size("wants") > 0)
+        .withColumn("__wants", _holding("__below", "__b"))
+        .where(F.size("__wants") > 0)
+        .drop("__b")
     )
-    inside = Window.partitionBy(*keys, "__metric", "__bin").orderBy("__x")
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
-        counts.join(targets, [*keys, "__metric", "__bin"])
-        .withColumn("upto", F.col("below_bin") + F.sum("__c").over(inside))
-        .withColumn("want", F.explode(F.expr("filter(wants, w -> w.rank >= upto - __c AND w.rank < upto)")))
+        counts.join(bins, [*place, "__bin"])
+        .withColumn(
+            "__below",
+            F.col("__below")
+            + F.sum("__c").over(_running(Window.partitionBy(*place, "__bin").orderBy("__x")))
+            - F.col("__c"),
+        )
+        .withColumn("__want", F.explode(_holding("__below", "__c")))
     )
     picks = [
-        F.max(F.when(F.col("want.name") == name, F.col("__x"))).alias(name)
+        F.max(F.when(F.col("__want.name") == name, F.col("__x"))).alias(name)
         for ranks in wanted.values()
         for name in ranks
     ]
-    sizes = [F.max(F.when(F.col("__metric") == c, F.col("n"))).alias(f"n_{c}") for c in wanted]
+    sizes = [F.max(F.when(F.col("__metric") == c, F.col("__n"))).alias(f"n_{c}") for c in wanted]
     return found.groupBy(*keys).agg(*picks, *sizes)
 
 
@@ -137,24 +145,21 @@ def group_stats(
     keys: Sequence[str],
     aggs: Sequence[Column] = (),
     quantiles: dict[str, tuple[str, float]] | None = None,
-    times: str | None = None,
 ) -> DataFrame:
     """Ordinary aggregates and exact interpolated quantiles per group, in one table.
 
     ``quantiles`` maps an output name to (column, probability). A row with a missing key
-    belongs to no group. No keys: one row for the whole table. ``times`` is a column saying
-    how often a row counts in the quantiles.
+    belongs to no group. No keys: one row for the whole table.
     """
     keys, quantiles = list(keys), quantiles or {}
     if keys:
         df = df.na.drop(subset=keys)
-    used = list(dict.fromkeys([*keys, *[c for c, _ in quantiles.values()], *([times] if times else [])]))
+    used = list(dict.fromkeys([*keys, *[c for c, _ in quantiles.values()]]))
     if not quantiles or fits_one_task(df.select(*used)):
         packed: dict[str, list[tuple[str, float]]] = {}
         for name, (column, p) in quantiles.items():
             packed.setdefault(column, []).append((name, float(p)))
-        repeat = F.col(times) if times else F.lit(1)
-        extra = [F.percentile(c, [p for _, p in ps], repeat).alias(f"__q_{c}") for c, ps in packed.items()]
+        extra = [F.percentile(c, [p for _, p in ps]).alias(f"__q_{c}") for c, ps in packed.items()]
         out = df.groupBy(*keys).agg(*aggs, *extra)
         kept = [c for c in out.columns if not c.startswith("__q_")]
         flat = [F.get(f"__q_{c}", F.lit(i)).alias(name) for c, ps in packed.items() for i, (name, _) in enumerate(ps)]
@@ -168,7 +173,7 @@ def group_stats(
         ranks = wanted.setdefault(column, {})
         ranks[f"{name}__lo"] = lambda n, p=p: F.floor((n - 1) * F.lit(float(p)))
         ranks[f"{name}__hi"] = lambda n, p=p: F.ceil((n - 1) * F.lit(float(p)))
-    picked = _pick(df, grouping, wanted, times)
+    picked = _pick(df, grouping, wanted)
     values = []
     for name, (column, p) in quantiles.items():
         position = (F.col(f"n_{column}") - 1) * F.lit(float(p))
@@ -205,13 +210,26 @@ def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
                 F.when(F.col(column).isNotNull(), F.rank().over(group.orderBy(F.col(column).asc_nulls_last())) - 1).cast("long"),
             )
         )
-    counts, bins = _counted(df, keys, [column])
-    inside = Window.partitionBy(*keys, "__bin").orderBy("__x")
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Counts per value, and per fine range, give the values below in two running sums.
+    counts = (
+        _long(df, keys, [column])
+        .groupBy(*keys, "__x")
+        .agg(F.count(F.lit(1)).alias("ties"))
+        .withColumn("__bin", value_bin(F.col("__x")))
+    )
+    group = Window.partitionBy(*keys)
+    bins = (
+        counts.groupBy(*keys, "__bin")
+        .agg(F.sum("ties").alias("__b"))
+        .withColumn("__below", F.sum("__b").over(_running(group.orderBy("__bin"))) - F.col("__b"))
+        .withColumn("n", F.sum("__b").over(group))
+        .drop("__b")
+    )
+    inside = _running(Window.partitionBy(*keys, "__bin").orderBy("__x"))
     table = (
-        counts.join(bins, [*keys, "__metric", "__bin"])
-        .withColumn("below", F.col("below_bin") + F.sum("__c").over(inside) - F.col("__c"))
-        .select(*keys, F.col("__x"), F.col("n"), F.col("__c").alias("ties"), "below")
+        counts.join(bins, [*keys, "__bin"])
+        .withColumn("below", F.col("__below") + F.sum("ties").over(inside) - F.col("ties"))
+        .select(*keys, "__x", "n", "ties", "below")
     )
     return (
         df.withColumn("__x", F.col(column).cast("double"))

@@ -63,13 +63,6 @@ def test_missing_key_is_no_group(spark, size):
     assert [r["k"] for r in group_stats(df, ["k"], quantiles={"m": ("x", 0.5)}).collect()] == ["a"]
 
 
-def test_repeated_values_by_count(spark, size):
-    df = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("a", 9.0, 4)], "k string, x double, n long")
-    out = group_stats(df, ["k"], quantiles={"m": ("x", 0.5), "t": ("x", 0.4)}, times="n").collect()[0]
-    whole = np.repeat([1.0, 2.0, 9.0], [3, 1, 4])
-    assert out["m"] == np.percentile(whole, 50) and out["t"] == pytest.approx(np.percentile(whole, 40))
-
-
 def test_percent_rank_is_pandas(df, size):
     got = {(r["k"], r["x"]): r["p"] for r in percent_rank_of(df, ["k"], "x", "p").collect()}
     frame = pd.DataFrame(ROWS, columns=["k", "x"])
