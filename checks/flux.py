@@ -109,13 +109,13 @@ def _(v):
 
 @case(
     "calibrated_lookup", "Q9 J3 J4 W4", "quartz fibers",
-    """WITH sp AS (SELECT DISTINCT visit, fiberId % 500 AS objId, arm, fiberId FROM quartz), c AS (SELECT visit, objId, max(fiberId) AS spectrumId FROM sp GROUP BY ALL),
+    """WITH sp AS (SELECT DISTINCT visit, fiberId - fiberId % 2 AS objId, arm, fiberId FROM quartz), c AS (SELECT visit, objId, max(fiberId) AS spectrumId FROM sp GROUP BY ALL),
     st AS (SELECT fiberId, objId FROM fibers WHERE targetType = 'FLUXSTD')
-    SELECT visit, objId, spectrumId, st.fiberId, count(*) AS pixels, sum(flux) AS flux FROM c JOIN (SELECT visit, fiberId % 500 AS objId, fiberId AS spectrumId, flux FROM quartz) AS q USING (visit, objId, spectrumId) JOIN st USING (objId) GROUP BY ALL""",
+    SELECT visit, objId, spectrumId, st.fiberId, count(*) AS pixels, sum(flux) AS flux FROM c JOIN (SELECT visit, fiberId - fiberId % 2 AS objId, fiberId AS spectrumId, flux FROM quartz) AS q USING (visit, objId, spectrumId) JOIN st USING (objId) GROUP BY ALL""",
     "flux",
 )
 def _(v):
-    spectra = v.quartz.select("visit", (F.col("fiberId") % 500).cast("long").alias("objId"), F.col("fiberId").alias("spectrumId"), "flux")
+    spectra = v.quartz.select("visit", (F.col("fiberId") - F.col("fiberId") % 2).cast("long").alias("objId"), F.col("fiberId").alias("spectrumId"), "flux")
     stars = v.fibers.where(F.col("targetType") == "FLUXSTD")
     found = X.calibrated_of(spectra, stars)
     out = found.groupBy("visit", "objId", "spectrumId", "fiberId").agg(F.count(F.lit(1)).alias("pixels"), F.sum("flux").alias("flux"))
@@ -253,7 +253,7 @@ def _(v):
     return X.scaled_spectrum(v.quartz, fluxes=v.fibers).select("visit", "arm", "fiberId", "pix", "fluxMedian", "scaled", "scaled_g", "scaled_nJ")
 
 
-SETS = """nf AS (SELECT fiberId % 40 AS visit, fiberId, targetType, CASE fiberId % 40 % 4 WHEN 0 THEN ['g_ps1', 'r_ps1', 'i_ps1', 'z_ps1', 'y_ps1'] WHEN 1 THEN ['bp_gaia', 'rp_gaia', 'g_gaia'] WHEN 2 THEN ['i_ps1', 'g_ps1'] ELSE ['g_hsc'] END AS names FROM fibers),
+SETS = """nf AS (SELECT CAST(fiberId // 10 AS INT) AS visit, fiberId, targetType, CASE fiberId // 10 % 4 WHEN 0 THEN ['g_ps1', 'r_ps1', 'i_ps1', 'z_ps1', 'y_ps1'] WHEN 1 THEN ['bp_gaia', 'rp_gaia', 'g_gaia'] WHEN 2 THEN ['i_ps1', 'g_ps1'] ELSE ['g_hsc'] END AS names FROM fibers),
   fs AS (SELECT visit, arg_min(names, fiberId) AS names FROM nf WHERE targetType = 'FLUXSTD' GROUP BY visit)"""
 
 
@@ -266,7 +266,7 @@ def _(v):
     def names(*n):
         return F.array(*[F.lit(x) for x in n])
 
-    visit = F.col("fiberId") % 40
+    visit = F.floor(F.col("fiberId") / 10).cast("int")
     sets = (
         F.when(visit % 4 == 0, names("g_ps1", "r_ps1", "i_ps1", "z_ps1", "y_ps1"))
         .when(visit % 4 == 1, names("bp_gaia", "rp_gaia", "g_gaia"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fiberqa.functions import scalars as S
-from fiberqa.operators.binning import histogram, with_normal
 from fiberqa.plans import extraction as E
 from fiberqa.plans import norms as N
 

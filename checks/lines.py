@@ -15,6 +15,7 @@ from fiberqa.operators.windows import first_per_key
 from fiberqa.plans import detmap as D
 from fiberqa.sources.frames import cut_if_large
 
+from .overlap import interp_sql
 from .registry import case
 
 DS = ["visit", "arm", "spectrograph"]
@@ -222,16 +223,18 @@ def _(v):
     return L.measured_lines(v.overlap_lines).groupBy("visit", "arm").agg(F.count(F.lit(1)).alias("n"), F.sum("flux").alias("flux"))
 
 
+DISPERSION = f"""lo AS (SELECT *, y - 0.5 AS ra, y + 0.5 AS rb FROM lines), {interp_sql('i0', 'lo', 'ra', 'calibration', ['arm', 'spectrograph', 'fiberId'], 'row', 'wavelength', 'w0')},
+  {interp_sql('i1', 'i0', 'rb', 'calibration', ['arm', 'spectrograph', 'fiberId'], 'row', 'wavelength', 'w1')}"""
+
+
 @case(
-    "dispersion_radius", "P29", "lines calibration",
-    """WITH slope AS (SELECT arm, spectrograph, fiberId, regr_slope(wavelength, row) AS dispersion FROM calibration GROUP BY ALL)
-    SELECT fiberId, wavelength, arm, dispersion, dispersion * 2.5 AS radius, xErr FROM lines JOIN slope USING (arm, spectrograph, fiberId)""",
+    "line_dispersion", "P29 A1", "lines calibration",
+    f"WITH {DISPERSION} SELECT fiberId, wavelength, arm, description, abs(w1 - w0) AS dispersion, abs(w1 - w0) * 2.5 AS radius, xErr FROM i1",
     "wavelength dispersion radius xErr",
 )
 def _(v):
-    slope = v.calibration.groupBy("arm", "spectrograph", "fiberId").agg(F.regr_slope("wavelength", "row").alias("dispersion"))
-    rows = v.lines.join(slope, ["arm", "spectrograph", "fiberId"])
-    return rows.select("fiberId", "wavelength", "arm", "dispersion", (F.col("dispersion") * 2.5).alias("radius"), "xErr")
+    rows = L.with_dispersion(v.lines, v.calibration)
+    return rows.select("fiberId", "wavelength", "arm", "description", "dispersion", (F.col("dispersion") * 2.5).alias("radius"), "xErr")
 
 
 # statistics

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.frames import cut, fits_one_task
+from ..sources.frames import cut, fits_one_task, join_per_group
 from .ordering import group_stats
 
 # Clipping width and rounds.
@@ -73,7 +73,7 @@ def clip_limits(
     )
     for _ in range(rounds):
         inside = (
-            rows.join(limits, series)
+            join_per_group(rows, limits, series)
             .where((F.col("__value") >= F.col("__lo")) & (F.col("__value") <= F.col("__hi")))
             .withColumn("__d", F.col("__value") - F.col("__near"))
         )
@@ -124,7 +124,7 @@ def sigma_clip(
         for c, flag in columns.items()
     }
     drop = [f"{c}_{end}" for c in columns for end in ("lo", "hi")]
-    return df.join(limits, list(keys), "left").withColumns(flags).drop(*drop)
+    return join_per_group(df, limits, keys, "left").withColumns(flags).drop(*drop)
 
 
 def _soften_sql(pairs: str, dof: str, top: float) -> str:
@@ -199,7 +199,7 @@ def soften_fit(
             for s in trial
         ]
         dof = F.count(F.when(F.col("__counted"), F.lit(1))) - num_params / 2.0
-        sums = long.join(bracket, grouping).groupBy(*grouping, "__a", "__b").agg(
+        sums = join_per_group(long, bracket, grouping).groupBy(*grouping, "__a", "__b").agg(
             dof.alias("__dof"), *[F.coalesce(F.sum(t), F.lit(0.0)).alias(f"__f{j}") for j, t in enumerate(terms)]
         )
         # The last trial value that is still too small starts the next bracket.

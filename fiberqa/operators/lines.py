@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import has_any, is_trace
 from ..functions.stats import ratio
+from .interpolation import interpolate
 
 DATASET = ("visit", "arm", "spectrograph")
 STAGES = ("flags", "traces", "status", "finite", "sn", "centroid", "zone")
@@ -134,6 +135,24 @@ def stage_counts(staged: DataFrame, by: Sequence[str] = ("description",)) -> Dat
     return staged.groupBy(*by).agg(*sums).unpivot(list(by), list(STAGES), "stage", "lines")
 
 
+def with_dispersion(
+    lines: DataFrame,
+    calibration: DataFrame,
+    keys: Sequence[str] = ("arm", "spectrograph", "fiberId"),
+    row: str = "y",
+    half: float = 0.5,
+) -> DataFrame:
+    """Add ``dispersion``: wavelength per pixel at the line's detector row, from a calibration
+    sampled as (keys, row, wavelength) and interpolated on both sides of the row.
+    """
+    keys, out = list(keys), lines.where(F.col(row).isNotNull())
+    for name, shift in (("__w0", -half), ("__w1", half)):
+        knots = calibration.select(*keys, F.col("row").alias("__row"), F.col("wavelength").alias(name))
+        out = interpolate(out.withColumn("__row", F.col(row) + shift), knots, keys, "__row", name)
+    width = F.abs(F.col("__w1") - F.col("__w0")) / (2.0 * half)
+    return out.withColumn("dispersion", width).drop("__row", "__w0", "__w1")
+
+
 def measured_lines(lines: DataFrame) -> DataFrame:
     """Lines with all six measured columns."""
     return lines.na.drop(subset=["flux", "x", "y", "xErr", "yErr", "fluxErr"])

@@ -21,7 +21,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.frames import fits_one_task
+from ..sources.frames import cut, fits_one_task, join_per_group
 
 FINE = 1 << 20
 COARSE = 1 << 7
@@ -82,9 +82,10 @@ def _pick(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, Callable[[
         .where(F.size("__wants") > 0)
         .drop("__c")
     )
+    ranges = cut(ranges)  # a few rows per group, read twice below
 
     counts = (
-        rows.join(ranges.select(*place), place)
+        join_per_group(rows, ranges.select(*place), place)
         .groupBy(*place, "__x")
         .agg(F.count(F.lit(1)).alias("__c"))
         .withColumn("__bin", value_bin(F.col("__x")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 
 SINGLE_TASK_BYTES = "fiberqa.singleTaskBytes"
 DEFAULT_SINGLE_TASK_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = "fiberqa.broadcastBytes"
+DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
+COPIES = 32
 
 
 def finite(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -36,15 +40,38 @@ def load_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
     return finite(spark.read.format("jdbc").options(url=url, dbtable=table, **options).load())
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate. It needs no job and errs upwards: a join counts as a
+    product. Of a table that was read from files it is the size of the files.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _limit(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(name, str(default)))
+
+
 def fits_one_task(df: DataFrame) -> bool:
-    """Whether all of ``df`` is small enough for one task, by the optimizer's size estimate.
+    """Whether all of ``df`` is small enough for one task. If it is, no group of it can be too
+    large for a task either.
+    """
+    return estimated_bytes(df) <= _limit(df, SINGLE_TASK_BYTES, DEFAULT_SINGLE_TASK_BYTES)
+
+
+def join_per_group(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table that has one row per group, whatever the size of a group.
 
-    If it is, no group of it can be too large for a task either. The estimate needs no job
-    and errs upwards (a join counts as a product), so large data never take this way.
+    A table of a checked small size is broadcast. A larger one is repeated a few times, and
+    each task's rows of a group meet one of the copies, so that a group spreads over tasks.
     """
-    limit = int(df.sparkSession.conf.get(SINGLE_TASK_BYTES, str(DEFAULT_SINGLE_TASK_BYTES)))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
+    keys = list(keys)
+    if fits_one_task(rows):
+        return rows.join(table, keys, how)
+    if estimated_bytes(table) <= _limit(table, BROADCAST_BYTES, DEFAULT_BROADCAST_BYTES):
+        return rows.join(F.broadcast(table), keys, how)
+    copies = table.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    salted = rows.withColumn("__copy", F.pmod(F.spark_partition_id(), F.lit(COPIES)))
+    return salted.join(copies, [*keys, "__copy"], how).drop("__copy")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -28,11 +28,14 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(params=["small", "large"])
+@pytest.fixture(params=["small", "large", "large without broadcast"])
 def size(request, spark):
-    """Run a test on the way for small inputs and on the one for large inputs."""
-    from fiberqa.sources.frames import SINGLE_TASK_BYTES
+    """Run a test on the way for small inputs and on those for large inputs."""
+    from fiberqa.sources.frames import BROADCAST_BYTES, SINGLE_TASK_BYTES
 
     spark.conf.set(SINGLE_TASK_BYTES, str(2**70) if request.param == "small" else "0")
+    if request.param == "large without broadcast":
+        spark.conf.set(BROADCAST_BYTES, "0")
     yield request.param
     spark.conf.unset(SINGLE_TASK_BYTES)
+    spark.conf.unset(BROADCAST_BYTES)
