@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import minhash, secrets
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,14 +36,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SQL_WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), w -> w != '')"
+SQL_WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w != '')"
 
 NEAR_SQL = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, {SQL_WORDS.format(f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS w FROM documents),
 s AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
 x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
 pairs AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id != b.doc_id
@@ -57,3 +58,57 @@ SELECT s.doc_id, len(s)::BIGINT AS n_shingles, component_id, s.doc_id = componen
 @query("op10_minhash", NEAR_SQL)
 def _(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"), k=4, percent=80)
+
+
+def _sql_spans(pattern: str, kind: str, order: int, keep: str) -> str:
+    """Spans of one kind in DuckDB: lists of gaps and matches, added up."""
+    p = pattern.replace("'", "''")
+    return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, '{p}')) + 1), lambda i: {{
+      'start': (list_sum(list_transform(string_split_regex(t, '{p}')[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(regexp_extract_all(t, '{p}')[1:i - 1], lambda x: length(x))), 0))::BIGINT,
+      'order': {order}, 'match': regexp_extract_all(t, '{p}')[i], 'kind': '{kind}', 'value': {keep}}}), lambda s: s.value IS NOT NULL)"""
+
+
+def _secrets_sql() -> str:
+    from . import secrets as S
+
+    whole = "regexp_extract_all(t, '{}')[i]"
+    a = S.ASSIGN.replace("'", "''")
+    value = f"regexp_extract_all(t, '{a}', 2)[i]"
+    parts = [
+        _sql_spans(S.ASSIGN, "assign", 0, f"CASE WHEN length({value}) >= {S.VALUE_LENGTH} THEN {value} END"),
+        _sql_spans(S.ACCESS, "access", 1, whole.format(S.ACCESS)),
+        _sql_spans(S.HEX, "hex", 2, whole.format(S.HEX)),
+    ]
+    mixed = f"regexp_matches({whole.format(S.TOKEN)}, '[0-9]') AND regexp_matches({whole.format(S.TOKEN)}, '[A-Za-z]')"
+    token = _sql_spans(S.TOKEN, "token", 3, f"CASE WHEN {mixed} THEN {whole.format(S.TOKEN)} END")
+    text = "list_transform(list_sort({}), lambda s: concat(s.kind, ':', s.start, ':', s.start + length(s.match)))"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+b AS (SELECT doc_id, owner, list_concat({parts[0]}, list_concat({parts[1]}, {parts[2]})) AS base, {token} AS tokens FROM d),
+f AS (SELECT doc_id, owner, base, list_filter(tokens, lambda x: len(list_filter(base, lambda y:
+    y.start < x.start + length(x.match) AND x.start < y.start + length(y.match))) = 0) AS tokens FROM b),
+v AS (SELECT DISTINCT owner, unnest(list_transform(list_concat(base, tokens), lambda s: s.value)) AS value FROM f),
+live AS (SELECT value FROM v GROUP BY value HAVING count(*) < 2),
+n AS (SELECT list(value) AS live FROM live),
+g AS (SELECT f.*, list_concat(base, list_filter(tokens, lambda s: list_contains(coalesce(n.live, []), s.value))) AS spans,
+    len(list_filter(base, lambda s: list_contains(coalesce(n.live, []), s.value))) AS n_live_base FROM f, n)
+SELECT doc_id, len(list_filter(base, lambda s: s.kind = 'assign'))::BIGINT AS n_assign, len(list_filter(base, lambda s: s.kind = 'access'))::BIGINT AS n_access,
+  len(list_filter(base, lambda s: s.kind = 'hex'))::BIGINT AS n_hex, sha256(array_to_string({text.format('base')}, ',')) AS base_sha256,
+  array_to_string({text.format('spans')}, ',') AS spans, (n_live_base + len(spans) - len(base))::BIGINT AS n_live
+FROM g
+"""
+
+
+@query("op9_secrets", _secrets_sql())
+def _(spark, folder):
+    found = secrets.scan_secrets(table(spark, folder, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    kinds = [count(k) for k in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id", *kinds, F.sha2(secrets.joined_spans("base"), 256).alias("base_sha256"), secrets.joined_spans("spans").alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
