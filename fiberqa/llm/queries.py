@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, secrets
+from . import language, minhash, secrets, toxicity
+from .sampling import fold
 from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +113,19 @@ def _(spark, folder):
         "doc_id", *kinds, F.sha2(secrets.joined_spans("base"), 256).alias("base_sha256"), secrets.joined_spans("spans").alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
     )
+
+
+@query("op4_toxicity")
+def _(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels, learn=toxicity.training_fold())
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op3_language")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs, fold(4) != 2)
+    predicted = language.predict_language(docs, model)
+    return predicted.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
