@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minhash, secrets, toxicity
+from . import language, minhash, quality, secrets, toxicity
 from .sampling import fold
 from .ship import ship
 
@@ -129,3 +129,10 @@ def _(spark, folder):
     model = language.fit(docs, fold(4) != 2)
     predicted = language.predict_language(docs, model)
     return predicted.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query("op5_quality")
+def _(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = quality.score_quality(docs, quality.fit(docs, labels, learn=fold(5) != 0))
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
