@@ -6,10 +6,9 @@ band holds minima only or maxima only, of different permutations, so that its en
 independent also for small sets.
 
 Texts with equal shingle sets are one class and are compared as one. Classes that agree in a
-band share a bucket. No bucket is gathered or paired out. Every member is first compared with
-one hub of its bucket, then those of buckets that still hold several components with a few
-other hubs. What is left is compared across components, but for pairs that cannot be similar
-enough: in buckets of more than ``PAIRED`` classes, two texts either share a shingle that few
+band share a bucket. No bucket is gathered or paired out. Every member is first compared with a
+few central hubs of its bucket. What is left is compared across components, but for pairs that cannot
+be similar enough: in buckets of more than ``PAIRED`` classes, two texts either share a shingle that few
 texts have, or their intersection is no larger than the number of common shingles of either.
 In a large family of copies that rules out nearly all that no hub has linked. So every two
 texts that share a bucket are linked, or connected already, or known to differ. Links are
@@ -32,8 +31,8 @@ from .words import Words, chunks, mix, sequences, words_of
 PERMUTATIONS = 56
 #: Entries in a band: two texts at 0.8 share none of 28 bands with a chance of 4 in 10 million.
 ROWS = 4
-#: Hubs of a bucket in each round before the rest is compared across components.
-HUBS = (1, 8)
+#: Hubs of a bucket that all its members are compared with, before the rest is across components.
+HUBS = 4
 #: Up to so many classes of a bucket, or texts with a shingle, are paired out in the last round.
 PAIRED = 24
 
@@ -146,16 +145,21 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return with_texts.mapInArrow(lambda it: _confirmed(it, k, percent), "a long, b long")
 
 
-def _with_component(members: DataFrame, links: DataFrame) -> DataFrame:
-    named = components(links)
-    component = F.coalesce("component", "rep").alias("component")
-    return members.drop("component").join(named, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n_shingles", component)
+def _labelled(members: DataFrame, links: DataFrame, hops: int = 2) -> DataFrame:
+    """Members whose ``component`` is the smallest text a few links away; equal ones are connected."""
+    near = links.where("a != b").select("a", "b").union(links.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    for _ in range(hops - 1):
+        far = near.join(least.select(F.col("a").alias("b"), F.col("m").alias("m2")), "b")
+        least = least.union(far.select("a", "m2")).groupBy("a").agg(F.min("m").alias("m"))
+    component = F.coalesce("m", "rep").alias("component")
+    return members.join(cut(least), F.col("rep") == F.col("a"), "left").select("bucket", "rep", "n_shingles", component)
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one component."""
-    ends = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return cut(members.join(ends.where("least != most").select("bucket"), "bucket"))
+    """Members of buckets that hold more than one component, with the size of the bucket."""
+    ends = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size"))
+    return cut(members.join(ends.where("least != most").select("bucket", "size"), "bucket"))
 
 
 def _second(members: DataFrame) -> DataFrame:
@@ -163,23 +167,24 @@ def _second(members: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(members: DataFrame, hubs: int) -> DataFrame:
-    """Each member beside each hub of its bucket. Every task first cuts a bucket to its own few hubs."""
-    if hubs == 1:
-        hub = members.groupBy("bucket").agg(F.min(F.struct("rep", "component", "n_shingles")).alias("hub")).select("bucket", "hub.*")
-    else:
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("rep"), "rep")
-        hub = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs).drop("place")
-    return members.join(cut(_second(hub)), "bucket")
+    """Each member beside each hub of its bucket. Every task first cuts a bucket to its own few hubs.
+
+    A text near the middle of a family shares large buckets in most bands, so the hubs are those
+    with the largest sum of bucket sizes.
+    """
+    reach = members.groupBy("rep").agg(F.sum("size").alias("reach"))
+    order = Window.partitionBy("bucket").orderBy(F.desc("reach"), "rep")
+    hub = members.join(reach, "rep").withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs)
+    hub = hub.select("bucket", "rep", "n_shingles")
+    return members.join(_second(hub), "bucket").where("rep != rep2")
 
 
 def _rest_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (rep, rep2) of a bucket and different components that may still be similar enough."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    sized = cut(members.join(sizes, "bucket"))
     columns = ["rep", "component", "n_shingles", "rep2", "component2", "n_shingles2"]
-    small = sized.where(F.col("size") <= PAIRED).drop("size")
+    small = members.where(F.col("size") <= PAIRED).drop("size")
     small = small.join(_second(small), "bucket").where("rep < rep2").select(*columns)
-    large = sized.where(F.col("size") > PAIRED).drop("size")
+    large = members.where(F.col("size") > PAIRED).drop("size")
 
     reps = large.select("rep").distinct()
     one = ["rep", "component", "n_shingles"]
@@ -187,13 +192,13 @@ def _rest_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     spread = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     listed = cut(listed.join(spread, "shingle"))
     common = listed.where(F.col("n") > PAIRED).groupBy("rep").agg(F.count(F.lit(1)).alias("common"))
-    able = cut(large.join(cut(common), "rep").where(F.col("common") * 100 >= F.col("n_shingles") * percent))
+    able = cut(large.join(common, "rep").where(F.col("common") * 100 >= F.col("n_shingles") * percent))
     needed = (F.col("n_shingles") + F.col("n_shingles2")) * percent
     by_common = able.join(_second(able), "bucket").where((F.col("rep") < F.col("rep2")) & (F.least("common", "common2") * (100 + percent) >= needed))
 
     rare = listed.where(F.col("n") <= PAIRED).select("rep", "shingle")
     rare = rare.join(rare.withColumnRenamed("rep", "rep2"), "shingle").where("rep < rep2").select("rep", "rep2").distinct()
-    known = cut(large.select(*one).distinct())
+    known = large.select(*one).distinct()
     by_rare = rare.join(known, "rep").join(known.select(*[F.col(c).alias(f"{c}2") for c in one]), "rep2")
     return small.union(by_common.select(*columns)).union(by_rare.select(*columns))
 
@@ -204,7 +209,7 @@ def near_duplicates(
     percent: int = 80,
     permutations: int = PERMUTATIONS,
     rows: int = ROWS,
-    hubs: tuple[int, ...] = HUBS,
+    hubs: int = HUBS,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs(doc_id, text)``.
 
@@ -213,8 +218,8 @@ def near_duplicates(
     the smallest doc_id of a component, ``kept`` says whether the document is that one.
 
     A text that is null or has no words has an empty set: its own component, kept. A row without
-    doc_id is linked with nothing: component_id null, kept. Rows that share a doc_id are one
-    node, linked if any of their texts is. Other columns of ``docs`` are not read.
+    doc_id is linked with nothing: component_id null, kept. Rows that share a
+    doc_id but not the text have a component each. Other columns of ``docs`` are not read.
     """
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = cut(
@@ -227,26 +232,23 @@ def near_duplicates(
     able = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = cut(able.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
     buckets = classes.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = cut(buckets.join(shared, "bucket"))  # of buckets with more than one class
 
     node = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = cut(rows_in.join(node, "doc_id").select(F.col("doc_id").alias("rep"), "text"))
-    # Rows of one doc_id with different texts are linked without a comparison.
-    links = able.groupBy("doc_id").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi")
-    links = links.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
-    tested = None
     members = members.withColumn("component", F.col("rep"))
-    for count in (*hubs, 0):
-        if tested is not None:
-            members = _open(_with_component(members, links))
-        both = _hub_pairs(members, count) if count else _rest_pairs(members, texts, k, percent)
+
+    def confirmed(both: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
         fits = F.least("n_shingles", "n_shingles2") * 100 >= F.greatest("n_shingles", "n_shingles2") * percent
-        pair = F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")
-        pairs = both.where((F.col("component") != F.col("component2")) & fits).select(*pair).distinct()
-        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = pairs if tested is None else tested.union(pairs)
-        links = cut(links.union(_links(pairs, texts, k, percent)))
+        pairs = both.where(fits).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+        pairs = cut(pairs if known is None else pairs.join(known, ["a", "b"], "left_anti"))
+        return pairs, cut(_links(pairs, texts, k, percent))
+
+    tested, linked = confirmed(_hub_pairs(members, hubs))
+    rest = _open(_labelled(members, linked))
+    _, more = confirmed(_rest_pairs(rest, texts, k, percent).where("component != component2"), tested)
+    links = linked.union(more)
 
     named = components(links)
     component = cut(classes.select(*same, "rep").join(named, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component_id")))
