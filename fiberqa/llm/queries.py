@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minhash, quality, secrets, toxicity
+from . import language, minhash, pieces, quality, secrets, toxicity
 from .sampling import fold
 from .ship import ship
 
@@ -136,3 +136,16 @@ def _(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = quality.score_quality(docs, quality.fit(docs, labels, learn=fold(5) != 0))
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+#: A SentencePiece model file on the driver.
+PIECE_MODEL = "fiberqa.llm.pieceModel"
+DEFAULT_PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def piece_model(spark: SparkSession) -> str:
+    return spark.conf.get(PIECE_MODEL, DEFAULT_PIECE_MODEL)
+
+
+@query("op6_pieces")
+def _(spark, folder):
+    return pieces.encode(table(spark, folder, "documents"), piece_model(spark), keep_text=False)

@@ -61,7 +61,7 @@ class _Powers:
 _BYTES, _WORDS = _Powers(_P), _Powers(_Q)
 
 
-def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
@@ -124,7 +124,7 @@ def words_of(texts: pa.Array, separators: np.ndarray = SPACES, fold: np.ndarray
         starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     else:
         starts = ends = np.zeros(0, np.int64)
-    return Words(data, starts, ends, np.searchsorted(starts, offsets), _hash_words(data, starts, ends))
+    return Words(data, starts, ends, np.searchsorted(starts, offsets), hash_words(data, starts, ends))
 
 
 def sequences(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
