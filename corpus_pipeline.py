@@ -1,32 +1,73 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written and read again by the next.
+
+Every stage works on all that its predecessor kept. The first four return the columns of
+``documents``, the last one the encoded texts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fiberqa.llm import minhash
+from fiberqa.llm import decontaminate, minhash, pieces, secrets, toxicity
+from fiberqa.llm.queries import piece_model, table
 from fiberqa.llm.ship import ship
 from fiberqa.sources.frames import cut
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that score below 0.5. The network learns from the labels of the training fold."""
+    ship(spark)
+    model = toxicity.fit(docs, table(spark, folder, "labels"), learn=toxicity.training_fold())
+    return toxicity.score_toxicity(docs, model, tuple(docs.columns)).where("score < 0.5").drop("score")
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8, smallest doc_id.
+
+    Documents without doc_id are no duplicates of anything and stay.
+    """
+    ship(spark)
+    gone = minhash.near_duplicates(docs, k=5, percent=80).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that no item of ``benchmark`` is found in."""
+    ship(spark)
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti")
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, with secrets that only one owner has replaced by a mark."""
+    return secrets.redacted(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """doc_id, ids, n_tokens, and whether the decoded text is the given one."""
+    ship(spark)
+    return pieces.encode(docs, piece_model(spark), keep_text=False)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("not_toxic", not_toxic),
     ("near_duplicates", near_duplicates),
+    ("decontaminated", decontaminated),
+    ("without_secrets", without_secrets),
+    ("encoded", encoded),
 ]
 
+#: Training, matching and encoding are beyond SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    ship(spark)
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = table(spark, folder, "documents")
     for _, stage in STAGES:
         docs = cut(stage(spark, docs, folder))
     return docs

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minhash, pieces, quality, secrets, toxicity
+from . import decontaminate, language, minhash, pieces, quality, secrets, toxicity
 from .sampling import fold
 from .ship import ship
 
@@ -149,3 +149,8 @@ def piece_model(spark: SparkSession) -> str:
 @query("op6_pieces")
 def _(spark, folder):
     return pieces.encode(table(spark, folder, "documents"), piece_model(spark), keep_text=False)
+
+
+@query("op2_decontaminate")
+def _(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
