@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, minhash, pieces, quality, secrets, toxicity
+from . import decontaminate, language, minhash, pieces, quality, secrets, topk, toxicity
 from .sampling import fold
 from .ship import ship
 
@@ -154,3 +154,21 @@ def _(spark, folder):
 @query("op2_decontaminate")
 def _(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id != c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+
+@query("op1_topk", TOP_SQL)
+def _(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", topk.scaled("embedding").alias("v"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
