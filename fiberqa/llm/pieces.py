@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
@@ -92,7 +92,7 @@ def parse(data: bytes) -> PieceModel:
             model.pieces.append((piece, score, kind))
         elif number == 2:
             said = dict(_fields(value))
-            model.kind, model.byte_fallback = said.get(3, UNIGRAM), bool(said.get(35, 0))
+            model.kind, model.byte_fallback = said.get(3, model.kind), bool(said.get(35, model.byte_fallback))
         elif number == 3:
             said = dict(_fields(value))
             model.charsmap = said.get(2, b"")
@@ -267,6 +267,12 @@ def _encoder(name: str) -> Encoder:
     return _BUILT[path]
 
 
+def shipped(spark: SparkSession, path: str) -> str:
+    """Send a model file to the executors; its name there."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
 def mismatches(path: str, texts: list[str]) -> list[str]:
     """Those texts that the original library encodes differently."""
     import sentencepiece
@@ -302,8 +308,7 @@ def encode(docs: DataFrame, path: str, threads: int = 1, keep_text: bool = True)
     are not read. No special tokens are added, and their names in a text are ordinary text.
     ``keep_text=False`` leaves ``decoded`` out.
     """
-    docs.sparkSession.sparkContext.addFile(path)
-    name = os.path.basename(path)
+    name = shipped(docs.sparkSession, path)
     chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
     kinds = f"doc_id {kind}, ids array<int>, n_tokens long, " + "decoded string, " * keep_text + "same boolean"
@@ -312,8 +317,7 @@ def encode(docs: DataFrame, path: str, threads: int = 1, keep_text: bool = True)
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its column ``ids``; null ids give a null text."""
-    encoded.sparkSession.sparkContext.addFile(path)
-    name = os.path.basename(path)
+    name = shipped(encoded.sparkSession, path)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _encoder(name).tokenizer

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, minhash, pieces, quality, secrets, topk, toxicity
+from . import counts, decontaminate, language, minhash, pieces, quality, secrets, topk, toxicity
 from .sampling import fold
 from .ship import ship
 
@@ -172,3 +172,8 @@ SELECT * FROM r WHERE rank <= 5
 def _(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", topk.scaled("embedding").alias("v"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query("op8_counts")
+def _(spark, folder):
+    return counts.count_tokens(table(spark, folder, "documents"), piece_model(spark))
