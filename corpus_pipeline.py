@@ -23,7 +23,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that score below 0.5. The network learns from the labels of the training fold."""
     ship(spark)
     model = toxicity.fit(docs, table(spark, folder, "labels"), learn=toxicity.training_fold())
-    return toxicity.score_toxicity(docs, model, tuple(docs.columns)).where("score < 0.5").drop("score")
+    return toxicity.score_toxicity(docs, model, tuple(docs.columns), "__score").where("__score < 0.5").drop("__score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, decontaminate, language, minhash, pieces, quality, secrets, topk, toxicity
+from . import counts, decontaminate, language, minhash, pieces, quality, secrets, substrings, topk, toxicity
 from .sampling import fold
 from .ship import ship
 
@@ -177,3 +177,22 @@ def _(spark, folder):
 @query("op8_counts")
 def _(spark, folder):
     return counts.count_tokens(table(spark, folder, "documents"), piece_model(spark))
+
+
+SUBSTRING_SQL = f"""
+WITH w AS (SELECT doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+x AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+y AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + 34 <= len(w) THEN md5(array_to_string(w[i:i + 34], ' ')) END AS g FROM x),
+c AS (SELECT g FROM y WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1),
+z AS (SELECT y.doc_id, y.i, y.word,
+    coalesce(max(CASE WHEN c.g IS NOT NULL THEN y.i END) OVER (PARTITION BY y.doc_id ORDER BY y.i), -99) > y.i - 35 AS gone
+  FROM y LEFT JOIN c ON y.g = c.g),
+a AS (SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM z GROUP BY doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(a.n, 0)::BIGINT AS n_removed, sha256(coalesce(a.kept, '')) AS kept_sha256
+FROM w LEFT JOIN a USING (doc_id)
+"""
+
+
+@query("op7_substrings", SUBSTRING_SQL)
+def _(spark, folder):
+    return substrings.remove_repeated(table(spark, folder, "documents"), 35, texts=False)

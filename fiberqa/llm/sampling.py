@@ -10,8 +10,8 @@ LONGEST = 60_000
 
 
 def fold(modulus: int) -> Column:
-    """The fold of a document; a row without doc_id is in fold 0 of none and never learned from."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+    """The fold of a document; -1 without doc_id. Such a row is never learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, longest: int = LONGEST) -> DataFrame:

@@ -279,20 +279,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column
     return train([r["text"] for r in rows], np.array([r["label"] for r in rows]))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model: Model, name: str) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
-        yield batch.append_column("score", pa.array(model.scores(batch.column("text"))))
+        yield batch.append_column(name, pa.array(model.scores(batch.column("text"))))
 
 
-def score_toxicity(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of every row of ``docs`` and its ``score``, from 0 to 1; toxic from 0.5 on.
+def score_toxicity(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """``columns`` of every row of ``docs`` and its score as ``name``, from 0 to 1; toxic from 0.5 on.
 
     All windows of the whole text count. A text that is null or has no words scores 0. Repeated
     rows score alike; an empty table gives none; other columns are not read.
     """
     chosen = docs.select(*columns, *[F.col("text").cast("string").alias("text")] * ("text" not in columns))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields)
-    scored = chosen.mapInArrow(lambda it: _scored(it, model), f"{kinds}, score double")
+    scored = chosen.mapInArrow(lambda it: _scored(it, model, name), f"{kinds}, `{name}` double")
     return scored if "text" in columns else scored.drop("text")
 
 

@@ -127,6 +127,14 @@ def words_of(texts: pa.Array, separators: np.ndarray = SPACES, fold: np.ndarray
     return Words(data, starts, ends, np.searchsorted(starts, offsets), hash_words(data, starts, ends))
 
 
+def word_sums(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of words from ``starts`` to ``ends``."""
+    up, down = _WORDS.to(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def sequences(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``k`` words that lie in one text, and their first words' numbers."""
     n = len(hashes)
