@@ -83,8 +83,20 @@ class Counter:
         """Number of pieces and best score of each text."""
         column = column.fill_null("")
         if not self.grouped:
-            found = [self.viterbi(self.normalizer.normalize_str(t)) if t else (0.0, 0) for t in column.to_pylist()]
-            return np.array([f[1] for f in found], np.int64), np.array([f[0] for f in found])
+            return self._whole(column.to_pylist())
+        marked = pc.match_substring(column, MARK)
+        number, score = self._split(pc.if_else(marked, "", column))
+        at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        if len(at):  # beside spaces such a marker joins two groups
+            number[at], score[at] = self._whole(column.take(pa.array(at)).to_pylist())
+        return number, score
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.viterbi(self.normalizer.normalize_str(t)) if t else (0.0, 0) for t in texts]
+        return np.array([f[1] for f in found], np.int64), np.array([f[0] for f in found], np.float64)
+
+    def _split(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """By groups."""
         data, offsets = bytes_of(pc.binary_join_element_wise(pa.scalar(" "), column, ""))
         starts, ends, first = _groups(data, offsets)
         distinct, at, token = np.unique(hash_words(data, starts, ends), return_index=True, return_inverse=True)

@@ -184,7 +184,7 @@ class Encoder:
         return np.diff(np.append(at, len(ids))), ids, np.ones(len(texts), bool)
 
     def _learn(self, hashes: np.ndarray, names: list[bytes]) -> None:
-        alone = np.array([b"\xe2\x96\x81" in x or x.isspace() for x in names], bool)
+        alone = np.array([x.isspace() for x in names], bool)
         for kind, encode in ((True, self._apart), (False, self._together)):
             chosen = np.flatnonzero(alone == kind)
             for i in range(0, len(chosen), self.AT_ONCE):
@@ -215,10 +215,24 @@ class Encoder:
         """Ids, decoded texts, and whether these are the given texts."""
         column = column.fill_null("")
         if self.groups is None:
-            texts = column.to_pylist()
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            return pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), np.array([a == b for a, b in zip(texts, decoded)], bool)
+            ids, decoded, same = self._whole(column.to_pylist())
+            return pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), np.array(same, bool)
+        marked = pc.match_substring(column, MARK)
+        if pc.any(marked).as_py():  # beside spaces such a marker joins two groups
+            lists, decoded, same = (list(x) for x in self._split(pc.if_else(marked, "", column), to_lists=True))
+            at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+            for i, *found in zip(at, *self._whole(column.take(pa.array(at)).to_pylist())):
+                lists[i], decoded[i], same[i] = found
+            return pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string()), np.array(same, bool)
+        return self._split(column)
+
+    def _whole(self, texts: list[str]) -> tuple[list[list[int]], list[str], list[bool]]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return ids, decoded, [a == b for a, b in zip(texts, decoded)]
+
+    def _split(self, column: pa.Array, to_lists: bool = False):
+        """By groups."""
         data, offsets = bytes_of(pc.binary_join_element_wise(pa.scalar(" "), column, ""))
         starts, ends, first = _groups(data, offsets)
         distinct, at, token = np.unique(hash_words(data, starts, ends), return_index=True, return_inverse=True)
@@ -237,7 +251,7 @@ class Encoder:
             for i, t in zip(odd, texts):
                 same[i], every[i] = t == every[i], t
             decoded = pa.array(every, pa.string())
-        return ids, decoded, same
+        return (ids.to_pylist(), decoded.to_pylist(), same) if to_lists else (ids, decoded, same)
 
 
 def _groups(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -101,7 +101,8 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (q @ x.T).astype(np.int64)
 
 
-_NONE = np.iinfo(np.int64).min
+#: Stands for no score; its negative is a number, too.
+_NONE = np.iinfo(np.int64).min + 1
 
 
 def _packs(batches: Iterator[pa.RecordBatch], pivots: np.ndarray, sample: np.ndarray, sample_ids: np.ndarray, width: int, k: int) -> Iterator[pa.RecordBatch]:
@@ -193,7 +194,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     data = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "v").na.drop()
     asked = queries.select(F.col("vec_id").cast("long").alias("vec_id"), "v").na.drop().groupBy("vec_id").agg(F.min("v").alias("v"))
     few = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    width = max(data.agg(F.max(F.size("v"))).first()[0] or 0, 1)
+    width = max(1, *(side.agg(F.max(F.size("v"))).first()[0] or 0 for side in (data, asked)))
     sample_ids = np.array([r["vec_id"] for r in few], np.int64)
     known = _matrix(pa.array([r["v"] for r in few], pa.list_(pa.int64())), width) if few else np.zeros((0, width))
     pivot = choose_pivots(known, pivots) if few else np.zeros((1, width))
