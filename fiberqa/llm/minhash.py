@@ -179,7 +179,7 @@ def _hub_pairs(members: DataFrame, hubs: int) -> DataFrame:
     return members.join(_second(hub), "bucket").where("rep != rep2")
 
 
-def _rest_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _rest_pairs(members: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (rep, rep2) of a bucket and different components that may still be similar enough."""
     columns = ["rep", "component", "n_shingles", "rep2", "component2", "n_shingles2"]
     small = members.where(F.col("size") <= PAIRED).drop("size")
@@ -192,9 +192,16 @@ def _rest_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> D
     spread = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     listed = cut(listed.join(spread, "shingle"))
     common = listed.where(F.col("n") > PAIRED).groupBy("rep").agg(F.count(F.lit(1)).alias("common"))
-    able = cut(large.join(common, "rep").where(F.col("common") * 100 >= F.col("n_shingles") * percent))
+    able = large.join(common, "rep").where(F.col("common") * 100 >= F.col("n_shingles") * percent)
+    # The bands before this one, so that a pair is made only in the first band that it shares.
+    before = F.expr("slice(bands, 1, cast(array_position(bands, bucket) - 1 as int))").alias("before")
+    with_bands = able.join(classes.select("rep", "bands"), "rep").where("array_position(bands, bucket) > 0")
+    able = cut(with_bands.select("bucket", *one, "common", before))
     needed = (F.col("n_shingles") + F.col("n_shingles2")) * percent
-    by_common = able.join(_second(able), "bucket").where((F.col("rep") < F.col("rep2")) & (F.least("common", "common2") * (100 + percent) >= needed))
+    first_shared = ~F.arrays_overlap("before", "before2")
+    enough = F.least("common", "common2") * (100 + percent) >= needed
+    apart = (F.col("rep") < F.col("rep2")) & (F.col("component") != F.col("component2"))
+    by_common = able.join(_second(able), "bucket").where(apart & enough & first_shared)
 
     rare = listed.where(F.col("n") <= PAIRED).select("rep", "shingle")
     rare = rare.join(rare.withColumnRenamed("rep", "rep2"), "shingle").where("rep < rep2").select("rep", "rep2").distinct()
@@ -247,7 +254,7 @@ def near_duplicates(
 
     tested, linked = confirmed(_hub_pairs(members, hubs))
     rest = _open(_labelled(members, linked))
-    _, more = confirmed(_rest_pairs(rest, texts, k, percent).where("component != component2"), tested)
+    _, more = confirmed(_rest_pairs(rest, classes, texts, k, percent).where("component != component2"), tested)
     links = linked.union(more)
 
     named = components(links)
