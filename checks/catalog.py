@@ -180,12 +180,26 @@ def _(v):
     )
 
 
-@case("split_members", "W13", "spectra")
+LOT = "('0x' || substr(md5(concat_ws('|', fiberId, 0)), 1, 13))::BIGINT"
+
+
+@case(
+    "split_members", "W13", "spectra",
+    f"""WITH f AS (SELECT DISTINCT visit, arm, spectrograph, fiberId, {LOT} AS lot FROM spectra),
+    o AS (SELECT *, row_number() OVER (PARTITION BY visit, arm, spectrograph ORDER BY lot) AS place, count(*) OVER (PARTITION BY visit, arm, spectrograph) AS n FROM f),
+    e AS (SELECT visit, arm, spectrograph, lot AS last FROM o WHERE place = greatest(floor(n * 0.1::DOUBLE), 1))
+    SELECT visit, arm, spectrograph, fiberId FROM f JOIN e USING (visit, arm, spectrograph) WHERE lot <= last""",
+)
 def _(v):
     return split_fibers(v.spectra, ["visit", "arm", "spectrograph"]).where("isReference").select("visit", "arm", "spectrograph", "fiberId").distinct()
 
 
-@case("sampled_fibers", "Q13 W14", "spectra")
+@case(
+    "sampled_fibers", "Q13 W14", "spectra",
+    f"""WITH f AS (SELECT DISTINCT arm, spectrograph, fiberId, {LOT} AS lot FROM spectra),
+    o AS (SELECT *, row_number() OVER (PARTITION BY arm, spectrograph ORDER BY lot, fiberId) AS place FROM f)
+    SELECT arm, spectrograph, fiberId FROM o WHERE place <= 25""",
+)
 def _(v):
     return sample_fibers(v.spectra, ["arm", "spectrograph"], 25)
 

@@ -300,7 +300,7 @@ RESULT_DOUBLES = (
       median(diff_i) AS "singleMedian", {sigma_sql('diff_i')} AS "singleSigma", median(diff_g - diff_i) AS "singleColorMedian", {sigma_sql('(diff_g - diff_i)')} AS "singleColorSigma" FROM ft GROUP BY visit),
     s AS (SELECT visit, median(SN) AS "mergedSNMedian", {sigma_sql('SN')} AS "mergedSNSigma" FROM sn GROUP BY visit),
     l AS (SELECT visit, {sigma_sql('obs_gri')} AS "stellarSequenceSigmaGRI", {sigma_sql('obs_riz')} AS "stellarSequenceSigmaRIZ", {sigma_sql('obs_izy')} AS "stellarSequenceSigmaIZY" FROM loc GROUP BY visit)
-    SELECT *, '1.0' AS version, 'tables' AS collection, 'i' AS "mergedFilter", 'g-i' AS "mergedColorFilters" FROM g LEFT JOIN m USING (visit) LEFT JOIN s USING (visit) LEFT JOIN l USING (visit)""",
+    SELECT *, '1.0' AS version, 'tables' AS collection, 'i' AS "mergedFilter", 'g-i' AS "mergedColorFilters" FROM g FULL JOIN m USING (visit) FULL JOIN s USING (visit) FULL JOIN l USING (visit)""",
     RESULT_DOUBLES,
 )
 def _(v):

@@ -140,9 +140,9 @@ def _(v):
 
 
 RANK = f"""{SKY}, t AS (SELECT *, flux + sky AS totalFlux FROM sk WHERE usable),
-  rk AS (SELECT *, 100.0 * (rank() OVER (PARTITION BY fiberId ORDER BY totalFlux) + (count(*) OVER (PARTITION BY fiberId, totalFlux) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY fiberId) AS ranked,
-    rank() OVER (PARTITION BY arm, fiberId ORDER BY wavelength) + (count(*) OVER (PARTITION BY arm, fiberId, wavelength) - 1) / 2.0::DOUBLE AS wave_rank FROM t),
-  bn AS (SELECT *, CAST(least(10, greatest(1, ceil((ranked - min(ranked) OVER ()) / (max(ranked) OVER () - min(ranked) OVER ()) * 10))) AS INT) AS bin FROM rk),
+  rk AS (SELECT *, 100.0 * (rank() OVER (PARTITION BY visit, spectrograph, fiberId ORDER BY totalFlux) + (count(*) OVER (PARTITION BY visit, spectrograph, fiberId, totalFlux) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY visit, spectrograph, fiberId) AS ranked,
+    rank() OVER (PARTITION BY visit, spectrograph, arm, fiberId ORDER BY wavelength) + (count(*) OVER (PARTITION BY visit, spectrograph, arm, fiberId, wavelength) - 1) / 2.0::DOUBLE AS wave_rank FROM t),
+  bn AS (SELECT *, CAST(least(10, greatest(1, ceil(coalesce((ranked - min(ranked) OVER p) / nullif(max(ranked) OVER p - min(ranked) OVER p, 0) * 10, 1)))) AS INT) AS bin FROM rk WINDOW p AS (PARTITION BY visit, spectrograph)),
   lb AS (SELECT *, (bin - 1) * 11 AS ranked_bin FROM bn)"""
 
 
@@ -153,7 +153,7 @@ def _(v):
 
 @case(
     "chi_by_brightness", "Q11 G36", "spectra",
-    f"WITH {RANK} SELECT arm, ranked_bin, count(chi) AS count, median(chi) AS median, 0.741 * (quantile_cont(chi, 0.75) - quantile_cont(chi, 0.25)) AS robustRms FROM lb GROUP BY ALL", "median robustRms",
+    f"WITH {RANK} SELECT visit, arm, spectrograph, ranked_bin, count(chi) AS count, median(chi) AS median, 0.741 * (quantile_cont(chi, 0.75) - quantile_cont(chi, 0.25)) AS robustRms FROM lb GROUP BY ALL", "median robustRms",
 )
 def _(v):
     return K.chi_by_brightness(K.brightness_bins(K.sky_columns(v.spectra)))
@@ -161,7 +161,7 @@ def _(v):
 
 @case(
     "poisson_chi_by_brightness", "Q11 G36", "spectra",
-    f"WITH {RANK} SELECT arm, ranked_bin, count(chi_poisson) AS count, median(chi_poisson) AS median, 0.741 * (quantile_cont(chi_poisson, 0.75) - quantile_cont(chi_poisson, 0.25)) AS robustRms FROM lb GROUP BY ALL", "median robustRms",
+    f"WITH {RANK} SELECT visit, arm, spectrograph, ranked_bin, count(chi_poisson) AS count, median(chi_poisson) AS median, 0.741 * (quantile_cont(chi_poisson, 0.75) - quantile_cont(chi_poisson, 0.25)) AS robustRms FROM lb GROUP BY ALL", "median robustRms",
 )
 def _(v):
     return K.chi_by_brightness(K.brightness_bins(K.sky_columns(v.spectra)), column="chi_poisson")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.frames import cut, fits_one_task, join_per_group
+from ..sources.frames import cut, finite, fits_one_task, join_per_group
 from .ordering import group_stats
 
 # Clipping width and rounds.
@@ -48,6 +48,7 @@ def clip_limits(
     interval, so a round passes on two numbers per group and no rows.
     """
     keys = list(keys)
+    df = finite(df, list(columns))
     if fits_one_task(df.select(*keys, *columns)):
         # Inside the aggregation, so that the optimizer does not copy the expression around.
         found = df.groupBy(*keys).agg(
@@ -66,7 +67,6 @@ def clip_limits(
     series = [*keys, "__series"]
     limits = cut(
         rows.groupBy(*series).agg(
-            F.min("__value").alias("__near"),
             F.lit(float("-inf")).alias("__lo"),
             F.lit(float("inf")).alias("__hi"),
         )
@@ -75,7 +75,6 @@ def clip_limits(
         inside = (
             join_per_group(rows, limits, series)
             .where((F.col("__value") >= F.col("__lo")) & (F.col("__value") <= F.col("__hi")))
-            .withColumn("__d", F.col("__value") - F.col("__near"))
         )
         stats = group_stats(
             inside,
@@ -83,16 +82,14 @@ def clip_limits(
             [
                 F.max("__lo").alias("__lo"),
                 F.max("__hi").alias("__hi"),
-                F.avg("__d").alias("__d1"),
-                F.avg(F.col("__d") * F.col("__d")).alias("__d2"),
+                F.stddev_pop("__value").alias("__sd"),
             ],
             {"__mid": ("__value", 0.5)},
         )
-        width = F.sqrt(F.greatest(F.col("__d2") - F.col("__d1") * F.col("__d1"), F.lit(0.0))) * sigma
+        width = F.col("__sd") * sigma
         limits = cut(
             stats.select(
                 *series,
-                F.col("__mid").alias("__near"),
                 F.greatest("__lo", F.col("__mid") - width).alias("__lo"),
                 F.least("__hi", F.col("__mid") + width).alias("__hi"),
             )

@@ -20,8 +20,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.frames import cut, fits_one_task, join_per_group
+from ..sources.frames import cut, finite, fits_one_task, join_per_group
 
 FINE = 1 << 20
 COARSE = 1 << 7
@@ -124,7 +125,10 @@ def _pick(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, Callable[[
 def order_statistics(
     df: DataFrame, keys: list[str], column: str, ranks: dict[str, Callable[[Column], Column]]
 ) -> DataFrame:
-    """Values at 0-based ranks that may depend on the group size; also the size as ``n``."""
+    """Values at 0-based ranks that may depend on the group size; also the size as ``n``.
+    NaN and infinities are missing values here and in all functions below.
+    """
+    df = finite(df, [column])
     if fits_one_task(df.select(*keys, column)):
         sorted_values = (
             df.where(F.col(column).isNotNull())
@@ -156,6 +160,7 @@ def group_stats(
     if keys:
         df = df.na.drop(subset=keys)
     used = list(dict.fromkeys([*keys, *[c for c, _ in quantiles.values()]]))
+    df = finite(df, [c for c, _ in quantiles.values()])
     if not quantiles or fits_one_task(df.select(*used)):
         packed: dict[str, list[tuple[str, float]]] = {}
         for name, (column, p) in quantiles.items():
@@ -201,6 +206,7 @@ def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     value, itself included) and ``n`` (rows with a value). NULL values get NULL.
     """
     keys = list(keys)
+    df = finite(df, [column])
     if fits_one_task(df):
         group = Window.partitionBy(*keys)
         return (
@@ -212,11 +218,14 @@ def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
             )
         )
     # Counts per value, and per fine range, give the values below in two running sums.
+    # Values keep their type: only the range is told by the double or by the first characters.
+    is_text = isinstance(df.schema[column].dataType, T.StringType)
     counts = (
-        _long(df, keys, [column])
+        df.select(*keys, F.col(column).alias("__x"))
+        .where(F.col("__x").isNotNull())
         .groupBy(*keys, "__x")
         .agg(F.count(F.lit(1)).alias("ties"))
-        .withColumn("__bin", value_bin(F.col("__x")))
+        .withColumn("__bin", F.substring("__x", 1, 4) if is_text else value_bin(F.col("__x").cast("double")))
     )
     group = Window.partitionBy(*keys)
     bins = (
@@ -233,7 +242,7 @@ def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
         .select(*keys, "__x", "n", "ties", "below")
     )
     return (
-        df.withColumn("__x", F.col(column).cast("double"))
+        df.withColumn("__x", F.col(column))
         .join(table, [*keys, "__x"], "left")
         .select(*df.columns, "n", "ties", "below")
     )
@@ -254,6 +263,7 @@ def percent_rank_of(df: DataFrame, keys: Sequence[str], column: str, out: str) -
 
 def first_come_rank(df: DataFrame, keys: Sequence[str], column: str, ties_by: Sequence[str], out: str) -> DataFrame:
     """1, 2, … in order of ``column``; equal values in order of ``ties_by``."""
+    df = finite(df, [column])
     if fits_one_task(df):
         order = Window.partitionBy(*keys).orderBy(column, *ties_by)
         return df.withColumn(out, F.row_number().over(order).cast("long"))

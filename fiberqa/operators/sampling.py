@@ -13,7 +13,9 @@ from .windows import top_per_group
 
 def lot(*columns: str, seed: int = 0) -> Column:
     """A pseudo-random number that depends on the columns and the seed only."""
-    return F.shiftright(F.xxhash64(*columns, F.lit(seed)), 11).cast("double")
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns], F.lit(str(seed))))
+    # 52 bits, which a double holds exactly.
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
 
 
 def split_fibers(

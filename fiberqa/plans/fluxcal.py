@@ -226,7 +226,8 @@ def visit_results(
     """The 24 scalars of each visit.
 
     ``merged`` and ``single`` are flux tables from merged and from calibrated spectra, ``sn``
-    has ``SN`` per fiber and ``guide`` is a guide-camera series.
+    has ``SN`` per fiber and ``guide`` is a guide-camera series. A visit that any of them has
+    is in the result.
     """
     merged, single = cut_if_large(merged), cut_if_large(single)
     key = ["visit"]
@@ -248,7 +249,7 @@ def visit_results(
     ]
     out = guide_summary(guide)
     for part in parts:
-        out = out.join(part, "visit", "left")
+        out = out.join(part, "visit", "full")
     return out.withColumns(
         {
             "version": F.lit(version),

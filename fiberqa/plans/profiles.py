@@ -19,13 +19,16 @@ def profile_histograms(
     keys: Sequence[str] = ("arm", "spectrograph"),
     n: int = 30,
     measures: Sequence[str] = MEASURES,
-    default: tuple[float, float] = (-1.0, 1.0),
 ) -> DataFrame:
-    """Counts per detector, measure and bin, over the measure's range or the default one."""
+    """Counts per detector, measure and bin, over the range that the report fixes for the
+    measure, or else between the extremes of the detector's values.
+    """
     long = profiles.select(*keys, *measures).unpivot(list(keys), list(measures), "measure", "value")
-    low, high = F.lit(default[0]), F.lit(default[1])
+    series = [*keys, "measure"]
+    ends = long.groupBy(*series).agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"))
+    low, high = F.col("__lo"), F.when(F.col("__hi") > F.col("__lo"), F.col("__hi")).otherwise(F.col("__lo") + 1)
     for name, (a, b) in RANGES.items():
         low = F.when(F.col("measure") == name, F.lit(a)).otherwise(low)
         high = F.when(F.col("measure") == name, F.lit(b)).otherwise(high)
-    ranged = long.withColumns({"lo": low, "hi": high})
-    return histogram(ranged, [*keys, "measure"], "value", n, "lo", "hi")
+    ranged = long.join(ends, series).withColumns({"lo": low, "hi": high})
+    return histogram(ranged, series, "value", n, "lo", "hi")

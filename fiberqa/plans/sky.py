@@ -135,18 +135,20 @@ def residual_against_sky(
 
 
 def brightness_bins(rows: DataFrame, n: int = 10) -> DataFrame:
-    """Percent rank of total flux within the fiber, its bin and label, and the rank of the
-    wavelength within arm and fiber.
+    """Percent rank of total flux within the visit's fiber, its bin and label, and the rank of
+    the wavelength within visit, arm and fiber. Bins lie between the extremes of a visit's
+    spectrograph.
     """
     total = rows.where("usable").withColumn("totalFlux", F.col("flux") + F.col("sky"))
-    out = percent_rank_of(total, ["fiberId"], "totalFlux", "ranked")
-    out = ranked(cut_if_large(out), ["arm", "fiberId"], "wavelength")
+    part = ["visit", "spectrograph"]
+    out = percent_rank_of(total, [*part, "fiberId"], "totalFlux", "ranked")
+    out = ranked(cut_if_large(out), [*part, "arm", "fiberId"], "wavelength")
     out = out.withColumn("wave_rank", average_rank()).drop("below", "ties", "n")
-    out = equal_width_bin(cut_if_large(out), [], "ranked", n, "bin")
+    out = equal_width_bin(cut_if_large(out), part, "ranked", n, "bin")
     return out.withColumn("ranked_bin", bin_label("bin", n))
 
 
-def chi_by_brightness(binned: DataFrame, by: Sequence[str] = ("arm", "ranked_bin"), column: str = "chi") -> DataFrame:
+def chi_by_brightness(binned: DataFrame, by: Sequence[str] = (*DATASET, "ranked_bin"), column: str = "chi") -> DataFrame:
     """Median and robust RMS of chi per brightness bin."""
     out = group_stats(
         binned,

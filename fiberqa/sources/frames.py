@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -75,14 +74,13 @@ def join_per_group(rows: DataFrame, table: DataFrame, keys: Sequence[str], how:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for cut lineage: ``spark.checkpoint.dir``, or a temporary one in local mode."""
+    """The folder for cut lineage: ``spark.checkpoint.dir``, or one in the warehouse in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fiberqa-"))
-    return spark.sparkContext.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/cuts"
 
 
 def cut(df: DataFrame) -> DataFrame:

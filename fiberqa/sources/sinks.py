@@ -9,13 +9,14 @@ def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ("visit", "arm")
     """Parquet, partitioned by the coordinates that later jobs select on.
 
     The rebalance hint gathers the rows of a coordinate into few files and splits a
-    coordinate that holds far more rows than the others.
+    coordinate that holds far more rows than the others. Overwriting replaces the
+    coordinates that ``df`` has and leaves all others.
     """
     present = [c for c in by if c in df.columns]
     if not present:
         df.write.mode(mode).parquet(path)
         return
-    df.hint("rebalance", *present).write.mode(mode).partitionBy(*present).parquet(path)
+    df.hint("rebalance", *present).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*present).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -117,3 +117,16 @@ def test_hot_group_is_spread(spark):
         assert (hot["m"], hot["n"]) == (pytest.approx(want[0]), want[1])
     finally:
         spark.conf.unset(SINGLE_TASK_BYTES)
+
+
+def test_missing_infinite_and_large_values(spark, size):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, v) for v in (1.0, 2.0, 3.0, 4.0, nan, inf, -inf, None)]
+    frame = spark.createDataFrame(rows, "g int, x double")
+    assert group_stats(frame, ["g"], quantiles={"m": ("x", 0.5)}).first()["m"] == 2.5
+    below = {r["x"]: r["below"] for r in ranked(frame, ["g"], "x").collect()}
+    assert {k: v for k, v in below.items() if k is not None} == {1.0: 0, 2.0: 1, 3.0: 2, 4.0: 3}
+    big = spark.createDataFrame([(1, 2**53), (1, 2**53 + 1), (1, 2**53 + 1)], "g int, x long")
+    assert sorted((r["x"], r["below"], r["ties"]) for r in ranked(big, ["g"], "x").collect()) == [(2**53, 0, 1), (2**53 + 1, 1, 2), (2**53 + 1, 1, 2)]
+    text = spark.createDataFrame([(1, "pear"), (1, "apple"), (1, "applet"), (1, "apple")], "g int, x string")
+    assert sorted((r["x"], r["below"]) for r in ranked(text, ["g"], "x").collect()) == [("apple", 0), ("apple", 0), ("applet", 2), ("pear", 3)]
