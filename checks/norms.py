@@ -29,7 +29,7 @@ def normal_sql(name, source, value):
 RATIO = f"{PAIRS}, {normal_sql('ratios', 'pairs', 'naive')}"
 SIGMA = f"""{RATIO}, sig AS (SELECT {DS_SQL}, fiberId, stddev_pop(ratio) AS sigma_std, median(ratio) AS ratioMedian, 0.741 * (quantile_cont(ratio, 0.75) - quantile_cont(ratio, 0.25)) AS s0, median(variance) AS vm FROM ratios GROUP BY ALL),
   sigma AS (SELECT {DS_SQL}, fiberId, sigma_std, ratioMedian, CASE WHEN s0 IS NOT NULL THEN sqrt(greatest(s0 * s0 - 2 / vm, 0)) END AS sigma FROM sig)"""
-TABLE = f"""{SIGMA}, tab AS (SELECT f.fiberId, f.mtp_A, substring(f.mtp_A, 1, 6) AS mtpGroup, s.visit, s.arm, coalesce(s.spectrograph, 0) AS SM, s.sigma, s.sigma_std FROM fibers AS f LEFT JOIN sigma AS s USING (fiberId))"""
+TABLE = f"""{SIGMA}, tab AS (SELECT f.fiberId, f.mtp_A, substring(f.mtp_A, 1, 6) AS mtpGroup, j.visit, j.arm, coalesce(s.spectrograph, 0) AS SM, s.sigma, s.sigma_std FROM (SELECT DISTINCT visit, arm FROM sigma) AS j CROSS JOIN (SELECT DISTINCT fiberId, mtp_A FROM fibers) AS f LEFT JOIN sigma AS s ON s.visit = j.visit AND s.arm = j.arm AND s.fiberId = f.fiberId)"""
 LIMIT = "CASE arm WHEN 'b' THEN 0.009 WHEN 'n' THEN 0.012 ELSE 0.0055 END"
 
 

@@ -48,7 +48,7 @@ def _(v):
 
 @case(
     "overlap_stats", "Q12 G34", "overlap_lines calibration",
-    f"WITH {CAL} SELECT wavelength, count(DISTINCT fiberId) AS fibers, count(*) AS pairs, median(difference) AS median, (quantile_cont(difference, 0.75) - quantile_cont(difference, 0.25)) / 1.349 AS sigma FROM calibrated GROUP BY wavelength",
+    f"WITH {CAL} SELECT visit, spectrograph, wavelength, count(DISTINCT fiberId) AS fibers, count(*) AS pairs, median(difference) AS median, (quantile_cont(difference, 0.75) - quantile_cont(difference, 0.25)) / 1.349 AS sigma FROM calibrated GROUP BY visit, spectrograph, wavelength",
     "wavelength median sigma",
 )
 def _(v):
@@ -57,10 +57,10 @@ def _(v):
 
 @case(
     "interpolated_calibration", "A1 P29", "lines calibration",
-    f"WITH g AS (SELECT spectrograph, fiberId, y AS row, count(*) AS n FROM lines GROUP BY ALL), kn AS (SELECT * FROM calibration WHERE arm = 'r'), {interp_sql('i', 'g', 'row', 'kn', ['spectrograph', 'fiberId'], 'row', 'wavelength', 'wavelength')} SELECT * FROM i",
+    f"WITH g AS (SELECT arm, spectrograph, fiberId, y AS row, count(*) AS n FROM lines GROUP BY ALL), kn AS (SELECT * FROM calibration), {interp_sql('i', 'g', 'row', 'kn', ['arm', 'spectrograph', 'fiberId'], 'row', 'wavelength', 'wavelength')} SELECT * FROM i",
     "row wavelength",
 )
 def _(v):
-    grid = v.lines.groupBy("spectrograph", "fiberId", F.col("y").alias("row")).agg(F.count(F.lit(1)).alias("n"))
-    knots = v.calibration.where(F.col("arm") == "r").select("spectrograph", "fiberId", "row", "wavelength")
-    return interpolate(grid, knots, ["spectrograph", "fiberId"], "row", "wavelength")
+    keys = ["arm", "spectrograph", "fiberId"]
+    grid = v.lines.groupBy(*keys, F.col("y").alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    return interpolate(grid, v.calibration.select(*keys, "row", "wavelength"), keys, "row", "wavelength")

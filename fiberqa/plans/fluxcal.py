@@ -16,7 +16,7 @@ from ..operators.ordering import group_stats
 from ..operators.photometry import design_flux, magnitude_differences, synth_flux
 from ..operators.reshape import spread
 from ..operators.windows import first_per_key
-from ..sources.frames import cut_if_large
+from ..sources.frames import cut_if_large, fiber_keys
 
 # Bands, positioning limit, S/N window and cut, color wavelengths, plot wavelengths.
 BANDS = ("g", "r", "i", "z", "y")
@@ -41,7 +41,8 @@ def calibrated_of(spectra: DataFrame, fibers: DataFrame, on: Sequence[str] = ("o
     ids = [*on, "visit"]
     rest = [c for c in ("catId", "spectrumId") if c in spectra.columns and c not in on]
     chosen = first_per_key(spectra.select(*ids, *rest).distinct(), ids, rest or ids, last=True)
-    return spectra.join(chosen, chosen.columns).join(fibers.select(*on, "fiberId"), list(on))
+    keys = fiber_keys(fibers, *on)
+    return spectra.join(chosen, chosen.columns).join(fibers.select(*keys, "fiberId"), keys)
 
 
 def measured_magnitudes(
@@ -56,13 +57,16 @@ def measured_magnitudes(
 def flux_table(
     fibers: DataFrame, spectra: DataFrame, filters: DataFrame, diff_filter: str | None = "g", zero: float = S.ZERO_POINT
 ) -> DataFrame:
-    """Design and measured magnitudes of the standards with their differences and colors."""
+    """Design and measured magnitudes of the standards with their differences and colors. With a
+    configuration per visit, each visit's spectra meet its own stars.
+    """
     stars = fibers.where(F.col("targetType") == "FLUXSTD")
     ids = ["fiberId", "spectrograph", "objId", "catId", "ra", "dec", "xFocal", "yFocal"]
-    design = design_flux(stars, BANDS, ids, zero)
-    chosen = spectra.join(stars.select("fiberId"), "fiberId", "left_semi")
+    keys = fiber_keys(fibers, "fiberId")
+    design = design_flux(stars, BANDS, list(dict.fromkeys([*keys, *ids])), zero)
+    chosen = spectra.join(stars.select(*keys), keys, "left_semi")
     return magnitude_differences(
-        design.join(measured_magnitudes(chosen, filters, zero=zero), "fiberId"), BANDS, diff_filter
+        design.join(measured_magnitudes(chosen, filters, zero=zero), keys), BANDS, diff_filter
     )
 
 

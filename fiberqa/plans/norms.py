@@ -15,7 +15,7 @@ from ..operators.lines import DATASET
 from ..operators.normalization import normalize_2d
 from ..operators.ordering import group_stats
 from ..operators.windows import median_filter, top_per_group
-from ..sources.frames import cut_if_large
+from ..sources.frames import cut_if_large, fiber_keys
 
 # Wavelength bands, flag thresholds, plot limits and counts.
 BANDS = {"b": (450.0, 650.0), "r": (650.0, 950.0), "m": (650.0, 950.0), "n": (950.0, 1250.0)}
@@ -53,8 +53,8 @@ def ratio_pairs(spectra: DataFrame, fibers: DataFrame, ref_visit: int) -> DataFr
     """Spectra of usable fibers against the same pixels of the reference visit, with the plain
     ratio and the ratio of norm-divided fluxes, both limited to the arm's band.
     """
-    good = usable_fibers(fibers).select("fiberId", "spectrograph")
-    spectra = spectra.join(good, ["fiberId", "spectrograph"], "left_semi")
+    keys = fiber_keys(fibers, "fiberId", "spectrograph")
+    spectra = spectra.join(usable_fibers(fibers).select(*keys), keys, "left_semi")
     place = ["arm", "spectrograph", "fiberId", "pix"]
     target = spectra.where(F.col("visit") != ref_visit)
     reference = spectra.where(F.col("visit") == ref_visit).select(
@@ -103,14 +103,17 @@ def fiber_sigma(ratios: DataFrame, keys: Sequence[str] = DATASET, subtract_error
 
 
 def fiber_table(sigma: DataFrame, fibers: DataFrame, keys: Sequence[str] = ("visit", "arm")) -> DataFrame:
-    """Sigma of every fiber of the bundle table, with bundle group and spectrograph.
+    """Sigma of every fiber of the bundle table in every job, with bundle group and spectrograph.
 
-    A fiber that was observed has one row per job; one that never was has a single row with
-    spectrograph 0.
+    A fiber that a job did not observe has spectrograph 0 there. The bundle table has as many
+    rows as the instrument has fibers, so it is packed into one array that each job unpacks.
     """
-    known = fibers.select("fiberId", "mtp_A", bundle_group("mtp_A").alias("mtpGroup"))
+    keys = list(keys)
+    one = F.struct("fiberId", "mtp_A", bundle_group("mtp_A").alias("mtpGroup"))
+    packed = fibers.select("fiberId", "mtp_A").distinct().agg(F.collect_list(one).alias("__all"))
+    jobs = sigma.select(*keys).distinct().crossJoin(F.broadcast(packed)).select(*keys, F.inline("__all"))
     observed = sigma.select(*keys, "fiberId", F.col("spectrograph").alias("SM"), "sigma", "sigma_std")
-    return known.join(observed, "fiberId", "left").withColumn("SM", F.coalesce("SM", F.lit(0)))
+    return jobs.join(observed, [*keys, "fiberId"], "left").withColumn("SM", F.coalesce("SM", F.lit(0)))
 
 
 def norms_record(sigma: DataFrame, keys: Sequence[str] = ("visit", "arm")) -> DataFrame:
@@ -173,8 +176,9 @@ def ratio_at_pixel(ratios: DataFrame, pixels: Sequence[int] = PIXELS) -> DataFra
 
 def clean_norms(norms: DataFrame, fibers: DataFrame, value: str = "values") -> DataFrame:
     """Norms of good fibers, missing outside the arm's band."""
-    good = fibers.where(F.col("fiberStatus") == "GOOD").select("fiberId")
-    return norms.join(good, "fiberId", "left_semi").withColumn(value, finite_or_null(in_band(value)))
+    keys = fiber_keys(fibers, "fiberId")
+    good = fibers.where(F.col("fiberStatus") == "GOOD").select(*keys)
+    return norms.join(good, keys, "left_semi").withColumn(value, finite_or_null(in_band(value)))
 
 
 def norms_limits(norms: DataFrame, keys: Sequence[str] = ("visit", "arm"), value: str = "values") -> DataFrame:

@@ -54,8 +54,8 @@ def wavelength_at_row(pairs: DataFrame, calibration: DataFrame, arms: tuple[str,
     return out.withColumn("difference", F.col("w0") - F.col("w1"))
 
 
-def overlap_stats(pairs: DataFrame, keys: Sequence[str] = ("wavelength",)) -> DataFrame:
-    """Fibers, median and robust sigma of the difference per line."""
+def overlap_stats(pairs: DataFrame, keys: Sequence[str] = ("visit", "spectrograph", "wavelength")) -> DataFrame:
+    """Fibers, median and robust sigma of the difference per visit, spectrograph and line."""
     out = group_stats(
         pairs,
         keys,

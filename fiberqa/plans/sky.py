@@ -16,7 +16,7 @@ from ..operators.ordering import average_rank, group_stats, percent_rank_of, ran
 from ..operators.reshape import dense_rows
 from ..operators.sampling import split_fibers
 from ..operators.windows import mean_of_others, median_of_others
-from ..sources.frames import cut_if_large
+from ..sources.frames import cut_if_large, fiber_keys
 
 SALTS = 32
 
@@ -39,8 +39,9 @@ def subtract_others(
     spectra: DataFrame, fibers: DataFrame, keys: Sequence[str] = DATASET, how: str = "median"
 ) -> DataFrame:
     """Residual of every sky fiber against the sky of all other sky fibers at its pixel."""
-    sky = fibers.where(F.col("targetType") == "SKY").select("fiberId")
-    rows = spectra.join(sky, "fiberId", "left_semi")
+    keys_in = fiber_keys(fibers, "fiberId")
+    sky = fibers.where(F.col("targetType") == "SKY").select(*keys_in)
+    rows = spectra.join(sky, keys_in, "left_semi")
     others = {"median": median_of_others, "mean": mean_of_others}[how]
     modelled = others(cut_if_large(rows), [*keys, "pix"], "flux", "skyModel")
     return modelled.withColumn("residual", F.col("flux") - F.col("skyModel"))

@@ -34,6 +34,11 @@ def load(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:
     return finite(df)
 
 
+def fiber_keys(fibers: DataFrame, *keys: str) -> list[str]:
+    """Keys that rows share with a fiber configuration: with ``visit`` if it has one row per visit."""
+    return ["visit", *keys] if "visit" in fibers.columns else list(keys)
+
+
 def load_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """Read one relational table (exposure, telescope, guide camera)."""
     return finite(spark.read.format("jdbc").options(url=url, dbtable=table, **options).load())
