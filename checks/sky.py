@@ -12,6 +12,7 @@ from fiberqa.operators.reshape import arrays_of_rows, rows_of_arrays, same_value
 from fiberqa.operators.windows import mean_of_others, median_of_others
 from fiberqa.plans import sky as K
 
+from .catalog import LOT
 from .overlap import interp_sql
 from .registry import case
 
@@ -129,12 +130,29 @@ def _(v):
     return K.reference_grid(K.sky_columns(v.spectra).where("usable"))
 
 
-@case("residual_and_sky", "Q11 W13 G35 A1", "spectra")
+def split_sql(value: str) -> str:
+    """CTEs up to ``rs``: the test fibers' median of ``value`` with the reference fibers' sky."""
+    return f"""{SKY}, sl AS (SELECT *, {LOT} AS lot FROM sk WHERE usable), sf AS (SELECT DISTINCT {DS_SQL}, fiberId, lot FROM sl),
+  so AS (SELECT *, row_number() OVER (PARTITION BY {DS_SQL} ORDER BY lot) AS place, count(*) OVER (PARTITION BY {DS_SQL}) AS n FROM sf),
+  se AS (SELECT {DS_SQL}, lot AS last FROM so WHERE place = greatest(floor(n * 0.3::DOUBLE), 1)),
+  sr AS (SELECT sl.* FROM sl JOIN se USING ({DS_SQL}) WHERE lot <= last), st AS (SELECT sl.* FROM sl JOIN se USING ({DS_SQL}) WHERE lot > last),
+  {reference_sql('a', 'sky + flux', 'sr')}, {reference_sql('b', value, 'st')},
+  va AS (SELECT {DS_SQL}, wavelength, median(value) AS sky FROM a_on GROUP BY ALL), vb AS (SELECT {DS_SQL}, wavelength, median(value) AS value FROM b_on GROUP BY ALL),
+  {interp_sql('rs', 'vb', 'wavelength', 'va', DS, 'wavelength', 'sky', 'sky')}"""
+
+
+@case("residual_and_sky", "Q11 W13 G35 A1", "spectra", f"WITH {split_sql('flux')} SELECT {DS_SQL}, wavelength, value, sky FROM rs", "wavelength value sky")
 def _(v):
     return K.residual_against_sky(K.sky_columns(v.spectra), fraction=0.3)
 
 
-@case("chi_by_reference_brightness", "Q11 W13 W1 A2 G36", "spectra")
+@case(
+    "chi_by_reference_brightness", "Q11 W13 W1 A2 G36", "spectra",
+    f"""WITH {split_sql('chi')}, rk AS (SELECT *, 100.0 * (rank() OVER (PARTITION BY {DS_SQL} ORDER BY sky) + (count(*) OVER (PARTITION BY {DS_SQL}, sky) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY {DS_SQL}) AS ranked FROM rs),
+    bn AS (SELECT *, (CAST(least(10, greatest(1, ceil(coalesce((ranked - min(ranked) OVER p) / nullif(max(ranked) OVER p - min(ranked) OVER p, 0) * 10, 1)))) AS INT) - 1) * 11 AS ranked_bin FROM rk WINDOW p AS (PARTITION BY {DS_SQL}))
+    SELECT {DS_SQL}, ranked_bin, count(value) AS count, median(value) AS median, 0.741 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) AS robustRms FROM bn GROUP BY ALL""",
+    "median robustRms",
+)
 def _(v):
     return K.chi_by_brightness(K.reference_brightness(K.sky_columns(v.spectra), fraction=0.3))
 
