@@ -205,22 +205,26 @@ class Model:
         return out
 
 
+def _vocabulary(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the known words, and how much more often (as log odds) each stands in toxic texts."""
+    words = words_of(pa.array(texts), NOT_ALNUM)
+    _, once = np.unique(mix(words.hashes + mix(words.texts.astype(np.uint64))), return_index=True)
+    vocabulary, of = np.unique(words.hashes[once], return_inverse=True)
+    seen, toxic = np.bincount(of), np.bincount(of, labels[words.texts[once]])
+    odds = np.log((toxic + 0.5) / (labels.sum() + 1)) - np.log((seen - toxic + 0.5) / (len(labels) - labels.sum() + 1))
+    enough = seen >= 3
+    best = np.argsort(-np.where(enough, np.abs(odds), -1), kind="stable")[:KNOWN_WORDS]
+    best = np.sort(best[enough[best]])
+    return vocabulary[best], odds[best]
+
+
 def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int = 1) -> Model:
     """Fit on texts with labels 0 and 1. With one class alone, every score is its label."""
     labels = np.asarray(labels, np.float32)
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(0, np.uint64), None, rest=float(labels[0]) if len(labels) else 0.0)
     rng = np.random.default_rng(seed)
-    words = words_of(pa.array(texts), NOT_ALNUM)
-    pairs = np.unique(np.stack([words.texts.astype(np.uint64), words.hashes]), axis=1)
-    vocabulary, of = np.unique(pairs[1], return_inverse=True)
-    y = labels[pairs[0].astype(np.int64)]
-    seen, toxic = np.bincount(of), np.bincount(of, y)
-    odds = np.log((toxic + 0.5) / (labels.sum() + 1)) - np.log((seen - toxic + 0.5) / (len(labels) - labels.sum() + 1))
-    enough = seen >= 3
-    best = np.argsort(-np.where(enough, np.abs(odds), -1), kind="stable")[:KNOWN_WORDS]
-    best = np.sort(best[enough[best]])
-    vocabulary, odds = vocabulary[best], odds[best]
+    vocabulary, odds = _vocabulary(texts, labels)
     x = inputs(pa.array(texts), vocabulary)
     place, there, text = windows(x.first)
     p = _start(len(vocabulary), rng)
