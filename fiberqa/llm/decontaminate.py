@@ -110,8 +110,8 @@ def _tiled(batches: Iterator[pa.RecordBatch], items: Broadcast, minimum: int, co
             tokens = known.tokens[item[a]]
             # Only words in seeds can be in tiles; between them one closed word stands for the rest.
             near = np.unique(place[a:b, None] + np.arange(minimum))
-            if len(np.intersect1d(words.hashes[near], tokens)) < coverage * len(np.unique(tokens)):
-                continue  # covered words are words of the item that stand in seeds
+            if np.isin(tokens, words.hashes[near]).sum() < coverage * len(tokens):
+                continue  # covered places of the item hold words that stand in seeds
             gap = np.flatnonzero(np.diff(near) > 1) + 1
             run, closed = np.insert(words.hashes[near], gap, 0), np.insert(np.zeros(len(near), bool), gap, True)
             covered = sum(n for n, _, _ in tiles(tokens, run, closed, minimum))

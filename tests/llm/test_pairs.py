@@ -156,6 +156,14 @@ def test_contamination(sent, edge, nothing):
     assert decontaminate.contamination(frame, bench.where("false")).count() == 0
 
 
+def test_contamination_by_repeated_words(sent):
+    """Few different words cover most places of an item."""
+    items = [(1, "a b c d e " * 3 + " ".join(f"r{i}" for i in range(10))), (2, "f g h i j " * 2 + " ".join(f"s{i}" for i in range(5)))]
+    docs = [(1, "x " * 9 + "a b c d e " * 3 + "y"), (2, "f g h i j " * 2), (3, "a b c d e " * 2), (4, "x y " + "f g h i j")]
+    frame, bench = sent.createDataFrame(docs, "doc_id long, text string"), sent.createDataFrame(items, "item_id long, text string")
+    assert sorted(tuple(r) for r in decontaminate.contamination(frame, bench).collect()) == [(1, 1, 15, 25), (2, 2, 10, 15)]
+
+
 def test_top_k(sent):
     rng = np.random.default_rng(1)
     x = rng.integers(-40, 40, size=(700, 6))
