@@ -46,6 +46,30 @@ def test_language_of_odd_documents(edge, nothing):
     assert language.predict_language(nothing, model).count() == 0
 
 
+def test_every_language_is_learned(sent):
+    """More languages than 64, a rare one of long texts only, and dictionaries in several blocks."""
+    rng = random.Random(7)
+    words = {f"l{n:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for n in range(70)}
+
+    def text(lang, size):
+        return " ".join(rng.choice(words[lang]) for _ in range(size))
+
+    rows = [(2 * n + i, text(lang, 60), lang) for n, lang in enumerate(words) for i in range(2 if n < 66 else 1)]
+    rows = [r for r in rows if r[2] != "l00"] + [(1000 + i, text("l00", 60) + " 1" * 40_000, "long") for i in range(3)] + [(1010, "12 34", "none")]
+    model = language.fit(sent.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == sorted({r[2] for r in rows})
+    asked = sent.createDataFrame([(n, text(lang, 40)) for n, lang in enumerate(words)], "doc_id long, text string")
+    for block in (language.BLOCK, 4000):
+        got = {r["doc_id"]: r["lang_pred"] for r in language.predict_language(asked, model, block=block).collect()}
+        assert got == {n: "long" if lang == "l00" else lang for n, lang in enumerate(words)}
+
+
+def test_each_text_has_its_share_of_a_dictionary():
+    made = language.dictionary(["a" * 500, "b" * 3, "c" * 500, "d" * 500, "12"], 300)
+    assert len(made) <= 300 and made.count(b"b") == 3
+    assert min(made.count(x) for x in (b"a", b"c", b"d")) >= 95
+
+
 @model_file
 def test_pieces_match_the_original_library(sent, edge, nothing):
     import sentencepiece
