@@ -241,6 +241,25 @@ def _(v):
     return plane(v)[1]
 
 
+# The same over the whole view: each pixel of each arm is a plane of its own.
+PLANES = "pl AS (SELECT visit, arm, pix, fiberId, max(flux) AS value FROM quartz GROUP BY ALL), nm AS (SELECT *, value / median(value) OVER (PARTITION BY visit, arm, pix) AS normalized FROM pl)"
+
+
+def planes(v):
+    keys = ["visit", "arm", "pix"]
+    return X.plane_norm(v.quartz.groupBy(*keys, "fiberId").agg(F.max("flux").alias("value")), keys, "value")
+
+
+@case("plane_norm_all", "Q9 G41 G21", "quartz", f"WITH {PLANES} SELECT * FROM nm", "value normalized")
+def _(v):
+    return planes(v)[0]
+
+
+@case("plane_norm_scatter_all", "Q9 G41", "quartz", f"WITH {PLANES} SELECT visit, arm, pix, median(normalized) AS normMedian, {sigma_sql('normalized')} AS normSigma, {sigma_sql('normalized')} * 100 AS scatterPercent FROM nm GROUP BY ALL", "normMedian normSigma scatterPercent")
+def _(v):
+    return planes(v)[1]
+
+
 @case(
     "scaled_spectrum", "Q9 P20 P17", "quartz fibers",
     f"""WITH g AS (SELECT *, median(flux) OVER (PARTITION BY visit, fiberId) AS fluxMedian FROM quartz WHERE mask = 0),

@@ -160,16 +160,22 @@ def _(v):
     return out.select("visit", "arm", "fiberId", "xFocal", "yFocal", "chiMed", "rangeClass", "shown")
 
 
-@case(
-    "profile_histograms", "Q13 A10", "profiles",
-    """WITH l AS (SELECT arm, spectrograph, measure, value FROM (UNPIVOT (SELECT * EXCLUDE (fiberId) FROM profiles) ON centroid, "min", "max", r90, skew, variation, width, wingFrac INTO NAME measure VALUE value)),
+PROFILE_HISTOGRAMS = """WITH l AS (SELECT arm, spectrograph, measure, value FROM (UNPIVOT (SELECT * EXCLUDE (fiberId) FROM profiles) ON centroid, "min", "max", r90, skew, variation, width, wingFrac INTO NAME measure VALUE value)),
     b AS (SELECT *, CASE measure WHEN 'variation' THEN 0::DOUBLE WHEN 'max' THEN 0.1::DOUBLE ELSE min(value) OVER w END AS lo, CASE measure WHEN 'variation' THEN 0.03::DOUBLE WHEN 'max' THEN 0.5::DOUBLE ELSE CASE WHEN max(value) OVER w > min(value) OVER w THEN max(value) OVER w ELSE min(value) OVER w + 1 END END AS hi FROM l WINDOW w AS (PARTITION BY arm, spectrograph, measure)),
     c AS (SELECT arm, spectrograph, measure, CAST(least(floor((value - lo) / (hi - lo) * 30), 29) AS INT) AS bin, count(*) AS n FROM b WHERE value >= lo AND value <= hi GROUP BY ALL),
     e AS (SELECT DISTINCT arm, spectrograph, measure, lo, hi FROM b), g AS (SELECT *, CAST(unnest(range(30)) AS INT) AS bin FROM e)
-    SELECT arm, spectrograph, measure, bin, lo + bin * ((hi - lo) / 30) AS "left", lo + (bin + 1) * ((hi - lo) / 30) AS "right", coalesce(n, 0) AS count FROM g LEFT JOIN c USING (arm, spectrograph, measure, bin)""",
-    "left right",
-)
+    SELECT arm, spectrograph, measure, bin, lo + bin * ((hi - lo) / 30) AS "left", lo + (bin + 1) * ((hi - lo) / 30) AS "right", coalesce(n, 0) AS count FROM g LEFT JOIN c USING (arm, spectrograph, measure, bin)"""
+
+
+@case("profile_histograms", "Q13 A10", "profiles", PROFILE_HISTOGRAMS, "left right")
 def _(v):
     from fiberqa.plans.profiles import profile_histograms
 
     return profile_histograms(v.profiles)
+
+
+@case("profile_histograms_all", "Q13 A10", "all_profiles", PROFILE_HISTOGRAMS.replace("FROM profiles", "FROM all_profiles"), "left right")
+def _(v):
+    from fiberqa.plans.profiles import profile_histograms
+
+    return profile_histograms(v.all_profiles)

@@ -155,6 +155,17 @@ PROFILES = {
         measures=", ".join(f'CAST(embedding[{i + 1}] AS DOUBLE) AS "{m}"' for i, m in enumerate(MEASURES))
     ),
 }
+# all 64 components: eight values of each measure per vector
+ALL_PROFILES_TEXT = PROFILE_SPARK.replace("FROM {{embeddings}}", "FROM (SELECT *, {numbers} AS k FROM {{embeddings}}) AS e")
+ALL_PROFILES = {
+    "spark": ALL_PROFILES_TEXT.format(
+        numbers="explode(sequence(0, 7))", measures=", ".join(f"CAST(embedding[8 * k + {i}] AS DOUBLE) AS `{m}`" for i, m in enumerate(MEASURES))
+    ),
+    "duckdb": ALL_PROFILES_TEXT.format(
+        numbers="unnest(range(8))", measures=", ".join(f'CAST(embedding[8 * k + {i + 1}] AS DOUBLE) AS "{m}"' for i, m in enumerate(MEASURES))
+    ),
+}
+BY_ENGINE = {"profiles": PROFILES, "all_profiles": ALL_PROFILES}
 
 
 def spark_text(text: str) -> str:
@@ -171,7 +182,7 @@ def ctes(*names: str) -> str:
     """WITH clause that defines the named views for DuckDB."""
     parts = []
     for n in names:
-        text = PROFILES["duckdb"] if n == "profiles" else VIEWS[n]
+        text = BY_ENGINE[n]["duckdb"] if n in BY_ENGINE else VIEWS[n]
         parts.append(f"{n} AS ({duckdb_text(text).strip()})")
     return "WITH RECURSIVE " + ",\n".join(parts)
 
@@ -186,8 +197,8 @@ class Views:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name == "profiles":
-            text = PROFILES["spark"]
+        if name in BY_ENGINE:
+            text = BY_ENGINE[name]["spark"]
         elif name in VIEWS:
             text = VIEWS[name]
         else:
