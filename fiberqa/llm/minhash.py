@@ -95,7 +95,7 @@ def _signed(*columns: np.ndarray) -> list[pa.Array]:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], k: int, permutations: int, rows: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "h1", "h2", "bands"]
+    names = ["doc_id", "text_hash", "n_shingles", "h1", "h2", "bands"]
     for batch in chunks(batches):
         words = words_of(batch.column("text"))
         hashes, first = shingles(words, k)
@@ -109,7 +109,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], k: int, permutations: int, ro
             h2[full] = np.add.reduceat(mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), begins)
             per[full] = bands(hashes, np.append(begins, len(hashes)), permutations, rows)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * per.shape[1]), pa.array(per.ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes.astype(np.int64)), *_signed(h1, h2), lists], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes.astype(np.int64)), *_signed(h1, h2), lists], names=names)
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -217,6 +217,7 @@ def near_duplicates(
     permutations: int = PERMUTATIONS,
     rows: int = ROWS,
     hubs: int = HUBS,
+    marks: bool = False,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs(doc_id, text)``.
 
@@ -227,12 +228,15 @@ def near_duplicates(
     A text that is null or has no words has an empty set: its own component, kept. A row without
     doc_id is linked with nothing: component_id null, kept. Rows that share a
     doc_id but not the text have a component each. Other columns of ``docs`` are not read.
+    With ``marks``, three more columns tell rows of one doc_id apart: ``text_hash`` of the text
+    (a null one is empty), ``h1`` and ``h2`` of the set.
     """
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    hashed = rows_in.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = cut(
-        rows_in.mapInArrow(
+        hashed.mapInArrow(
             lambda it: _signatures(it, k, permutations, rows),
-            "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>",
+            "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, bands array<long>",
         )
     )
     same = ["n_shingles", "h1", "h2"]
@@ -259,9 +263,10 @@ def near_duplicates(
 
     named = components(links)
     component = cut(classes.select(*same, "rep").join(named, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component_id")))
-    out = signed.select("doc_id", *same).join(component, same, "left")
+    out = signed.select("doc_id", "text_hash", *same).join(component, same, "left")
     empty = F.col("n_shingles") == 0
     component_id = F.when(F.col("doc_id").isNotNull(), F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn(
+    shown = ["text_hash", "h1", "h2"] if marks else []
+    return out.select("doc_id", *shown, "n_shingles", component_id.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )

@@ -42,6 +42,21 @@ def test_pipeline_stages_keep_columns_and_clean_documents(sent):
     assert {r["doc_id"] for r in rows.collect()} == before
 
 
+def test_pipeline_decides_each_row(sent):
+    """Null, shared and repeated doc_ids."""
+    item = sent.read.parquet(f"{DATA}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    clean, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "uv")
+    rows = [(None, item, "a"), (None, clean, "a"), (5, item, "a"), (5, clean, "a"), (6, other, "a"), (None, None, "a")]
+    docs = sent.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in corpus_pipeline.decontaminated(sent, docs, DATA).collect()]
+    assert sorted(got, key=repr) == sorted([rows[1], rows[3], rows[4], rows[5]], key=repr)
+
+    rows = [(1, clean, "a"), (1, clean, "b"), (1, clean.upper(), "a"), (2, clean, "a"), (2, other, "a"), (3, "", "a"), (None, clean, "a"), (None, clean, "a")]
+    docs = sent.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in corpus_pipeline.near_duplicates(sent, docs, DATA).collect()), key=repr)
+    assert got == sorted([(1, clean), (2, other), (3, ""), (None, clean), (None, clean)], key=repr)
+
+
 def test_pipeline_stages_on_odd_and_on_no_documents(sent, edge, nothing):
     for docs in (edge, nothing):
         for _, stage in corpus_pipeline.STAGES:
