@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, decontaminate, language, minhash, pieces, quality, secrets, substrings, topk, toxicity
+from . import bytepairs, counts, decontaminate, importance, language, merkle, minhash, pieces, quality, secrets, substrings, topk, toxicity
 from .sampling import fold
 from .ship import ship
 
@@ -196,3 +196,109 @@ FROM w LEFT JOIN a USING (doc_id)
 @query("op7_substrings", SUBSTRING_SQL)
 def _(spark, folder):
     return substrings.remove_repeated(table(spark, folder, "documents"), 35, texts=False)
+
+
+#: A file of byte-pair ranks and the pattern that splits texts into pre-tokens.
+PAIR_RANKS, PAIR_PATTERN = "fiberqa.llm.pairRanks", "fiberqa.llm.pairPattern"
+
+
+def pair_model(spark: SparkSession) -> tuple[str, str]:
+    """Path and pattern; without settings those of the public vocabulary that is installed."""
+    path, pattern = spark.conf.get(PAIR_RANKS, None), spark.conf.get(PAIR_PATTERN, None)
+    if not path or not pattern:
+        import public_tokenizers
+
+        path, pattern = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
+    return path, pattern
+
+
+@query("op13_bytepairs")
+def _(spark, folder):
+    model = pair_model(spark)
+    ids = bytepairs.encode(table(spark, folder, "documents"), *model)
+    decoded = bytepairs.decode(ids.withColumn("ids_sha256", F.sha2("ids", 256)), *model)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+#: CRC-32 of a string in DuckDB, half a byte at a time, the low half first. The sixteen numbers are fixed values.
+SQL_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, 2 * strlen({0})),
+  lambda i: (instr('0123456789ABCDEF', substr(hex(encode({0})), xor(i, 1) + 1, 1)) - 1)::BIGINT)),
+  lambda c, b: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+    3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(xor(c, b) & 15) + 1])), 4294967295)"""
+IMPORTANCE_SQL = f"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark),
+w AS (SELECT kind, id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w FROM texts),
+f AS (
+  SELECT kind, id, unnest(list_concat(w, list_concat(
+    list_transform(range(1, len(w)), lambda i: concat_ws(' ', w[i], w[i + 1])),
+    list_transform(range(1, len(w) - 1), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2]))))) AS f FROM w),
+n AS (SELECT kind, id, f, count(*) AS n FROM f GROUP BY ALL),
+k AS (SELECT f, ({SQL_CRC.format("f")} % 10000)::BIGINT AS b FROM (SELECT DISTINCT f FROM n)),
+x AS (SELECT kind, id, b, n FROM n JOIN k USING (f)),
+g AS (
+  SELECT b, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 't'), 0)::DOUBLE AS t FROM x GROUP BY b),
+a AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM g),
+gain AS (SELECT b, floor(1000 * ln(((g.t + 1) * (a.s + 10000)) / ((g.s + 1) * (a.t + 10000))))::BIGINT AS gain FROM g, a),
+weight AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM x JOIN gain USING (b) WHERE kind = 'd' GROUP BY id),
+score AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(((('0x' || sha256('42:' || id)[1:8])::BIGINT)::DOUBLE + 0.5) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN weight USING (id) WHERE kind = 'd'),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM score WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r.r <= 5 * r.n // 100 THEN r.r END AS rank FROM score LEFT JOIN r USING (doc_id)
+"""
+
+
+@query("op12_importance", IMPORTANCE_SQL)
+def _(spark, folder):
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _sql_leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(concat(" + ", ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE concat(strlen({f}), ':', {f}) END" for f in fields) + "))"
+
+
+def _sql_tree(name: str, leaves: str) -> str:
+    """CTEs of the nodes (g, level, i, h, n) over leaves(g, i, h, n), and of the children of each node."""
+    return f"""
+{name}(g, level, i, h, n) AS (
+  SELECT g, 0, i, h, n FROM {leaves} UNION ALL
+  SELECT g, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM {name} WHERE n > 1 GROUP BY g, level, i // 8, n),
+{name}_kids AS (SELECT g, level, i // 8 AS up, list(h ORDER BY i) AS kids FROM {name} WHERE n > 1 GROUP BY g, level, i // 8)"""
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {_sql_leaf("text")} AS leaf,
+    CASE WHEN {SQL_CRC.format("doc_id::VARCHAR")} % 3 = 0 THEN {_sql_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS claimed FROM documents),
+p AS (SELECT *, dense_rank() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n FROM d),
+leaves AS (SELECT g, i, leaf AS h, n FROM p),
+{_sql_tree("tree", "leaves")},
+subroots AS (SELECT -1 AS g, g AS i, h, count(*) OVER () AS n FROM tree WHERE n = 1),
+{_sql_tree("top", "subroots")},
+kids AS (SELECT * FROM tree_kids UNION ALL SELECT * FROM top_kids),
+depth AS (SELECT g, max(level) + 1 AS depth FROM tree_kids GROUP BY g),
+steps AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY over, k.level) AS step,
+    array_to_string(kids[1:own], '') AS l, array_to_string(kids[own + 2:len(kids)], '') AS r
+  FROM (SELECT doc_id, g, i, 0 AS over FROM p UNION ALL SELECT doc_id, -1, g, 1 FROM p) x
+  JOIN (SELECT *, unnest(range(len(kids))) AS own FROM kids) k ON k.g = x.g AND up * 8 + own = x.i >> (3 * k.level)),
+proof AS (SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof, max(step) AS steps FROM steps GROUP BY doc_id),
+fold(doc_id, step, h) AS (
+  SELECT doc_id, 0, coalesce(claimed, leaf) FROM p UNION ALL
+  SELECT doc_id, fold.step + 1, sha256(l || h || r) FROM fold JOIN steps USING (doc_id) WHERE steps.step = fold.step + 1)
+SELECT p.doc_id, leaf, s.h AS subroot, t.h AS root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM p JOIN tree s ON s.g = p.g AND s.n = 1 JOIN top t ON t.n = 1 LEFT JOIN proof USING (doc_id)
+JOIN fold f ON f.doc_id = p.doc_id AND f.step = coalesce(steps, 0)
+"""
+
+
+@query("op11_merkle", MERKLE_SQL)
+def _(spark, folder):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.proofs(merkle.manifest(merkle.leaf_digests(table(spark, folder, "documents"), tampered)))
