@@ -11,7 +11,7 @@ from fiberqa.operators.normalization import against_median
 from fiberqa.operators.ordering import group_stats
 from fiberqa.operators.reshape import spread
 from fiberqa.plans import fluxcal as X
-from fiberqa.sources.frames import cut_if_large
+from fiberqa.sources.frames import cut
 
 from .registry import case
 
@@ -51,7 +51,7 @@ def fibers(v):
 
 
 def flux_table(v):
-    return cut_if_large(X.flux_table(fibers(v), v.quartz, v.filters))
+    return cut(X.flux_table(fibers(v), v.quartz, v.filters))
 
 
 @case("ab_magnitudes", "P12 P30", "fibers", f"SELECT fiberId, {mag('flux_g')} AS mag_g, {mag('flux_i', 31.400094)} AS mag_i, {mag('flux_g - 24000')} AS faint, pow(10, -0.4 * ({mag('flux_y')} - 31.4::DOUBLE)) AS back FROM fibers", "mag_g mag_i faint back")

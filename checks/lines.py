@@ -13,7 +13,7 @@ from fiberqa.operators.ordering import group_stats
 from fiberqa.operators.reshape import concat_tables, flatten, melt_status
 from fiberqa.operators.windows import first_per_key
 from fiberqa.plans import detmap as D
-from fiberqa.sources.frames import cut_if_large
+from fiberqa.sources.frames import cut
 
 from .overlap import interp_sql
 from .registry import case
@@ -372,7 +372,7 @@ RMS_OF_DATASET = f"rms AS (SELECT {DS_SQL}, sqrt(sum(yResid * yResid / (yErr * y
     "limit1 limit2",
 )
 def _(v):
-    rows = cut_if_large(report_rows(v, "yResid"))
+    rows = cut(report_rows(v, "yResid"))
     reserved = rows.where((F.col("status") == "isReserved") & ~F.col("isOutlier"))
     rms = reserved.groupBy(*DS).agg((T.weighted_rms("yResid", "yErr") / 4).alias("rms"))
     return D.outlier_fibers(D.fiber_summary(rows, "yResid"), rms)
@@ -430,7 +430,7 @@ SIX = "spatial_median spatial_weightedRms spatial_softenFit wavelength_median wa
 
 
 def reserved_stats(v):
-    return cut_if_large(flat_stats(v).where(F.col("status_type") == "RESERVED"))
+    return cut(flat_stats(v).where(F.col("status_type") == "RESERVED"))
 
 
 @case(

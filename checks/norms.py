@@ -8,7 +8,7 @@ from fiberqa.functions import scalars as S
 from fiberqa.operators.normalization import normalize_2d
 from fiberqa.operators.windows import median_filter
 from fiberqa.plans import norms as N
-from fiberqa.sources.frames import cut_if_large
+from fiberqa.sources.frames import cut
 
 from .registry import case
 
@@ -38,7 +38,7 @@ def pairs(v):
 
 
 def sigma(v):
-    return cut_if_large(N.fiber_sigma(N.normalized_ratio(pairs(v))))
+    return cut(N.fiber_sigma(N.normalized_ratio(pairs(v))))
 
 
 def table(v):

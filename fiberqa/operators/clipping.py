@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.frames import cut, finite, fits_one_task, join_per_group
-from .ordering import group_stats
+from ..sources.frames import cut, finite, join_per_group, one_exposure
+from .ranges import clipped_intervals
 
 # Clipping width and rounds.
 CLIP_SIGMA = 3.0
@@ -45,11 +45,13 @@ def clip_limits(
 
     Each round takes median and population deviation of the values still inside and keeps
     those within ``sigma`` deviations, the limits included. What survives is always an
-    interval, so a round passes on two numbers per group and no rows.
+    interval. The values of a group of one exposure are sorted in a task and clipped there;
+    those of other groups never meet (:mod:`fiberqa.operators.ranges`). The same values give
+    the same limits however they are spread over tasks.
     """
     keys = list(keys)
     df = finite(df, list(columns))
-    if fits_one_task(df.select(*keys, *columns)):
+    if one_exposure(keys):
         # Inside the aggregation, so that the optimizer does not copy the expression around.
         found = df.groupBy(*keys).agg(
             *[
@@ -63,37 +65,8 @@ def clip_limits(
         )
 
     values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    rows = cut(values.unpivot(keys, list(columns), "__series", "__value").where(F.col("__value").isNotNull()))
-    series = [*keys, "__series"]
-    limits = cut(
-        rows.groupBy(*series).agg(
-            F.lit(float("-inf")).alias("__lo"),
-            F.lit(float("inf")).alias("__hi"),
-        )
-    )
-    for _ in range(rounds):
-        inside = (
-            join_per_group(rows, limits, series)
-            .where((F.col("__value") >= F.col("__lo")) & (F.col("__value") <= F.col("__hi")))
-        )
-        stats = group_stats(
-            inside,
-            series,
-            [
-                F.max("__lo").alias("__lo"),
-                F.max("__hi").alias("__hi"),
-                F.stddev_pop("__value").alias("__sd"),
-            ],
-            {"__mid": ("__value", 0.5)},
-        )
-        width = F.col("__sd") * sigma
-        limits = cut(
-            stats.select(
-                *series,
-                F.greatest("__lo", F.col("__mid") - width).alias("__lo"),
-                F.least("__hi", F.col("__mid") + width).alias("__hi"),
-            )
-        )
+    rows = values.unpivot(keys, list(columns), "__series", "__value").where(F.col("__value").isNotNull())
+    limits = clipped_intervals(rows, [*keys, "__series"], sigma, rounds)
     ends = [
         F.max(F.when(F.col("__series") == c, F.col(f"__{end}"))).alias(f"{c}_{end}")
         for c in columns
@@ -113,6 +86,8 @@ def sigma_clip(
     flagged. Rows with a missing key belong to no group and are dropped.
     """
     df = df.na.drop(subset=list(keys))
+    if not one_exposure(keys):
+        df = cut(df)  # read three times
     limits = clip_limits(df, keys, list(columns), sigma, rounds)
     flags = {
         flag: ~F.coalesce(
@@ -158,7 +133,7 @@ def soften_fit(
     there are no rows, NULL when even the largest softening is too little.
     """
     keys = list(keys)
-    if fits_one_task(df.select(*keys, *dict.fromkeys(c for pair in pairs.values() for c in pair))):
+    if one_exposure(keys):
         fits = []
         for name, (r, e) in pairs.items():
             both = f"`{r}` IS NOT NULL AND `{e}` IS NOT NULL"

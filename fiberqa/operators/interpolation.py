@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.frames import fits_one_task
+from ..sources.frames import one_exposure
 from .ordering import value_bin
 
 
@@ -33,7 +33,7 @@ def interpolate(
         )
         .withColumn("__at", knot)
     )
-    if fits_one_task(grid) and fits_one_task(knots):
+    if one_exposure(keys):
         place, carried = keys, (F.lit(None), F.lit(None))
     else:
         # Pieces of the axis are filled on their own; a piece takes the nearest knots

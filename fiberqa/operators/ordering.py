@@ -1,8 +1,9 @@
 """Exact order statistics, quantiles and ranks of groups of any size.
 
 Spark's ``percentile`` gathers the distinct values of a group in one task, and a ranking
-window gathers all rows of it. Both are used here only when the whole input is small
-(:func:`fiberqa.sources.frames.fits_one_task`). Otherwise a wanted rank is closed in on:
+window gathers all rows of it. Both are used here only for groups of one exposure, which the
+instrument bounds (:func:`fiberqa.sources.frames.one_exposure`). In any other group a wanted
+rank is closed in on:
 
 1. rows are counted per group and coarse range of values; each task sends only its counts.
    A running sum over the ranges of a group says which range holds the rank;
@@ -10,7 +11,8 @@ window gathers all rows of it. Both are used here only when the whole input is s
    fine range of values;
 3. only the values in the fine range that holds the rank are put in order.
 
-A group thus never has to be in one place, and most rows are never shuffled. Results are
+A group thus never has to be in one place, and most rows are never shuffled. Ranks of all rows
+come from a sort that is cut into ranges (:mod:`fiberqa.operators.placement`). Results are
 exact either way.
 """
 
@@ -22,11 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.frames import cut, finite, fits_one_task, join_per_group
+from ..sources.frames import cut, finite, join_per_group, one_exposure
+from .placement import PARTITION_BITS, null_safe, placed, sorted_ranges
 
 FINE = 1 << 20
 COARSE = 1 << 7
-_LARGEST_EXPONENT = 1100
+LARGEST_EXPONENT = 1100
 
 
 def value_bin(x: Column, per_octave: int = FINE) -> Column:
@@ -38,7 +41,7 @@ def value_bin(x: Column, per_octave: int = FINE) -> Column:
     size = F.abs(x)
     exponent = F.floor(F.log2(size))
     within = F.floor((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1.0) * float(per_octave))
-    number = (exponent + _LARGEST_EXPONENT) * per_octave + within
+    number = (exponent + LARGEST_EXPONENT) * per_octave + within
     return F.when(x > 0, number).when(x < 0, -number).otherwise(F.lit(0)).cast("long")
 
 
@@ -129,7 +132,7 @@ def order_statistics(
     NaN and infinities are missing values here and in all functions below.
     """
     df = finite(df, [column])
-    if fits_one_task(df.select(*keys, column)):
+    if one_exposure(keys):
         sorted_values = (
             df.where(F.col(column).isNotNull())
             .groupBy(*keys)
@@ -150,18 +153,19 @@ def group_stats(
     keys: Sequence[str],
     aggs: Sequence[Column] = (),
     quantiles: dict[str, tuple[str, float]] | None = None,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Ordinary aggregates and exact interpolated quantiles per group, in one table.
 
     ``quantiles`` maps an output name to (column, probability). A row with a missing key
-    belongs to no group. No keys: one row for the whole table.
+    belongs to no group. No keys: one row for the whole table. ``bounded`` says whether a task
+    may hold the values of a group; without it, whether the keys name one exposure.
     """
     keys, quantiles = list(keys), quantiles or {}
     if keys:
         df = df.na.drop(subset=keys)
-    used = list(dict.fromkeys([*keys, *[c for c, _ in quantiles.values()]]))
     df = finite(df, [c for c, _ in quantiles.values()])
-    if not quantiles or fits_one_task(df.select(*used)):
+    if not quantiles or (one_exposure(keys) if bounded is None else bounded):
         packed: dict[str, list[tuple[str, float]]] = {}
         for name, (column, p) in quantiles.items():
             packed.setdefault(column, []).append((name, float(p)))
@@ -193,6 +197,33 @@ def group_stats(
     return base.join(picked, grouping, "left").drop("__all")
 
 
+def grouped_quantiles(df: DataFrame, groupings: Sequence[Sequence[str]], column: str, *wanted: dict[str, float]) -> list[DataFrame]:
+    """Exact quantiles of one column for several groupings of the same rows, in one scan of them.
+
+    ``wanted`` has {name: probability} for each grouping. Returns one table per grouping, with its
+    keys and names. Every row is handed to all groupings (an ``Expand``), and one aggregation or
+    one search for ranks serves them all. Rows with a missing key belong to no group of a grouping
+    that has the key.
+    """
+    keys = list(dict.fromkeys(k for g in groupings for k in g))
+    rows = finite(df.select(*keys, column), [column])
+    sets = [
+        F.struct(F.lit(i).alias("__set"), *[(F.col(k) if k in g else F.lit(None).cast(rows.schema[k].dataType)).alias(k) for k in keys])
+        for i, g in enumerate(groupings)
+    ]
+    whole = [F.when(F.array_contains(F.array(*[F.col(k).isNull() for k in g]), True), None).otherwise(s) if g else s for g, s in zip(groupings, sets)]
+    expanded = rows.select(F.explode(F.array_compact(F.array(*whole))).alias("__g"), F.col(column).alias("__v"))
+    probabilities = {f"q{i}": p for i, p in enumerate(dict.fromkeys(p for w in wanted for p in w.values()))}
+    at = {p: n for n, p in probabilities.items()}
+    # One key: a struct is never null, so that a grouping without some of the keys is no missing group.
+    every = all(one_exposure(g) for g in groupings)
+    found = cut(group_stats(expanded, ["__g"], quantiles={n: ("__v", p) for n, p in probabilities.items()}, bounded=every))
+    return [
+        found.where(F.col("__g.__set") == i).select(*[F.col(f"__g.{k}").alias(k) for k in g], *[F.col(at[p]).alias(n) for n, p in w.items()])
+        for i, (g, w) in enumerate(zip(groupings, wanted))
+    ]
+
+
 def medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], suffix: str = "") -> DataFrame:
     return group_stats(df, keys, quantiles={f"{c}{suffix}": (c, 0.5) for c in columns})
 
@@ -207,7 +238,7 @@ def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """
     keys = list(keys)
     df = finite(df, [column])
-    if fits_one_task(df):
+    if one_exposure(keys):
         group = Window.partitionBy(*keys)
         return (
             df.withColumn("n", F.when(F.col(column).isNotNull(), F.count(column).over(group)))
@@ -217,35 +248,53 @@ def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
                 F.when(F.col(column).isNotNull(), F.rank().over(group.orderBy(F.col(column).asc_nulls_last())) - 1).cast("long"),
             )
         )
-    # Counts per value, and per fine range, give the values below in two running sums.
-    # Values keep their type: only the range is told by the double or by the first characters.
-    is_text = isinstance(df.schema[column].dataType, T.StringType)
-    counts = (
-        df.select(*keys, F.col(column).alias("__x"))
-        .where(F.col("__x").isNotNull())
-        .groupBy(*keys, "__x")
-        .agg(F.count(F.lit(1)).alias("ties"))
-        .withColumn("__bin", F.substring("__x", 1, 4) if is_text else value_bin(F.col("__x").cast("double")))
+    rows = sorted_ranges(df, [*[F.col(k).asc_nulls_first() for k in keys], F.col(column).asc_nulls_last()])
+    return _ranks(rows, keys, column).drop("__at", "__range")
+
+
+def _ranks(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """``below``, ``ties`` and ``n`` of rows with ``__at``, sorted by keys and value in ranges.
+
+    Equal values stand together. In a range they are counted there; a value that goes on in
+    further ranges is among the first or last values of each, and those are added up. What crosses
+    the borders is a few rows for each range and group.
+    """
+    rows = rows.withColumn("__range", F.shiftright("__at", PARTITION_BITS)).withColumn("__x", F.col(column))
+    place = [*keys, "__range"]
+    runs = cut(
+        rows.where(F.col(column).isNotNull())
+        .groupBy(*place, "__x")
+        .agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__here"))
     )
+    ranges = runs.groupBy(*place).agg(F.min("__x").alias("__least"), F.max("__x").alias("__most"), F.min("__first").alias("__start"), F.sum("__here").alias("__rows"))
     group = Window.partitionBy(*keys)
-    bins = (
-        counts.groupBy(*keys, "__bin")
-        .agg(F.sum("ties").alias("__b"))
-        .withColumn("__below", F.sum("__b").over(_running(group.orderBy("__bin"))) - F.col("__b"))
-        .withColumn("n", F.sum("__b").over(group))
-        .drop("__b")
+    ranges = cut(
+        ranges.withColumn("__before", F.sum("__rows").over(_running(group.orderBy("__range"))) - F.col("__rows"))
+        .withColumn("n", F.sum("__rows").over(group))
+        .drop("__rows")
     )
-    inside = _running(Window.partitionBy(*keys, "__bin").orderBy("__x"))
-    table = (
-        counts.join(bins, [*keys, "__bin"])
-        .withColumn("below", F.col("__below") + F.sum("ties").over(inside) - F.col("ties"))
-        .select(*keys, "__x", "n", "ties", "below")
-    )
-    return (
-        df.withColumn("__x", F.col(column))
-        .join(table, [*keys, "__x"], "left")
-        .select(*df.columns, "n", "ties", "below")
+    # Values that end one range and begin the next.
+    at_edge = (F.col("__x") == F.col("__least")) | (F.col("__x") == F.col("__most"))
+    known = runs.join(_renamed(ranges, place), null_safe(runs, _renamed(ranges, place), place, "__k_")).drop(*[f"__k_{k}" for k in place])
+    known = cut(known.withColumn("below", F.col("__before") + F.col("__first") - F.col("__start")).withColumn("__edge", at_edge))
+    over = known.where("__edge").groupBy(*keys, "__x").agg(F.min("below").alias("__below"), F.sum("__here").alias("__ties"), F.count(F.lit(1)).alias("__ranges"))
+    over = cut(over.where("__ranges > 1").drop("__ranges"))
+    spread = _renamed(over, [*keys, "__x"])
+    whole = known.join(spread, null_safe(known, spread, [*keys, "__x"], "__k_"), "left")
+    table = whole.select(
+        *[F.col(k).alias(f"__k_{k}") for k in place],
+        F.col("__x").alias("__k___x"),
+        "n",
+        F.coalesce("__ties", "__here").alias("ties"),
+        F.coalesce("__below", "below").alias("below"),
     )
+    # A hot value has one row for each of its ranges, so that it meets its rows range by range.
+    joined = rows.join(table, null_safe(rows, table, [*place, "__x"], "__k_"), "left")
+    return joined.drop("__x", *[f"__k_{k}" for k in [*place, "__x"]])
+
+
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"__k_{k}" for k in keys})
 
 
 def average_rank(below: Column | str = "below", ties: Column | str = "ties") -> Column:
@@ -264,12 +313,7 @@ def percent_rank_of(df: DataFrame, keys: Sequence[str], column: str, out: str) -
 def first_come_rank(df: DataFrame, keys: Sequence[str], column: str, ties_by: Sequence[str], out: str) -> DataFrame:
     """1, 2, … in order of ``column``; equal values in order of ``ties_by``."""
     df = finite(df, [column])
-    if fits_one_task(df):
+    if one_exposure(keys):
         order = Window.partitionBy(*keys).orderBy(column, *ties_by)
         return df.withColumn(out, F.row_number().over(order).cast("long"))
-    among_ties = Window.partitionBy(*keys, column).orderBy(*ties_by)
-    return (
-        ranked(df, keys, column)
-        .withColumn(out, F.col("below") + F.row_number().over(among_ties))
-        .drop("n", "ties", "below")
-    )
+    return placed(df, keys, [F.col(c).asc() for c in (column, *ties_by)], "__place", "__size").withColumn(out, F.col("__place") + 1).drop("__place", "__size")

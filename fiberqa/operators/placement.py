@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..sources.frames import cut
 
 #: ``monotonically_increasing_id`` has the number of the partition above this many bits.
-_PARTITION_BITS = 33
+PARTITION_BITS = 33
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -49,7 +49,7 @@ def placed(
     """
     keys = list(keys)
     rows = sorted_ranges(df, [*[F.col(k).asc_nulls_first() for k in keys], *order])
-    rows = rows.withColumn("__range", F.shiftright("__at", _PARTITION_BITS))
+    rows = rows.withColumn("__range", F.shiftright("__at", PARTITION_BITS))
     counted = rows.groupBy(*keys, "__range").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__c"))
     # As many rows as there are ranges and groups.
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))

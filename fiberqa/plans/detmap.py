@@ -16,7 +16,7 @@ from ..operators.clipping import sigma_clip, soften_fit
 from ..operators.lines import DATASET, good_lines
 from ..operators.ordering import first_come_rank, group_stats
 from ..operators.reshape import melt_status
-from ..sources.frames import cut_if_large
+from ..sources.frames import cut
 
 # Order of the detectors in reports, and the report metrics.
 DETECTOR_ORDER = [f"{arm}{spec}" for arm in ("b", "r", "m", "n") for spec in (1, 2, 3, 4)]
@@ -85,7 +85,7 @@ def fit_stats(
     if clipped_only:
         rows = rows.where(~F.col("xResidOutlier"))
     line = F.col("isLine") & F.col("yResid").isNotNull()
-    rows = cut_if_large(
+    rows = cut(
         rows.select(
             *keys,
             "fiberId",
@@ -173,7 +173,7 @@ def fiber_summary(rows: DataFrame, column: str, keys: Sequence[str] = DATASET) -
     """Count, median and weighted RMS per fiber, status and outlier flag."""
     group, err = [*keys, "fiberId", "status", "isOutlier"], f"{column[0]}Err"
     return group_stats(
-        cut_if_large(rows.select(*group, column, err)),
+        cut(rows.select(*group, column, err)),
         group,
         [
             F.count(F.lit(1)).alias("count"),
@@ -201,9 +201,9 @@ def outlier_fibers(summary: DataFrame, rms: DataFrame, keys: Sequence[str] = DAT
 def binned_residual(rows: DataFrame, column: str, step: float, keys: Sequence[str] = DATASET) -> DataFrame:
     """Median wavelength and residual per wavelength bin, status and outlier flag."""
     rows = rows.na.drop(subset=["wavelength"]).select(*keys, "status", "isOutlier", "wavelength", column)
-    binned = step_bin(cut_if_large(rows), keys, "wavelength", step, "bin")
+    binned = step_bin(cut(rows), keys, "wavelength", step, "bin")
     return group_stats(
-        cut_if_large(binned.na.drop(subset=[column])),
+        cut(binned.na.drop(subset=[column])),
         [*keys, "bin", "status", "isOutlier"],
         quantiles={"wavelength": ("wavelength", 0.5), column: (column, 0.5)},
     )
@@ -249,7 +249,7 @@ def detector_box(stats: DataFrame) -> DataFrame:
     within 1.5 interquartile ranges.
     """
     keys = ["ccd", "description", "variable"]
-    long = cut_if_large(stats_long(stats))
+    long = cut(stats_long(stats))
     box = group_stats(
         long,
         keys,

@@ -11,7 +11,7 @@ from ..functions import stats as T
 from ..operators.binning import histogram, with_normal
 from ..operators.lines import DATASET
 from ..operators.ordering import group_stats
-from ..sources.frames import cut_if_large
+from ..sources.frames import cut
 
 # Window half width, cut-out centers and half width, histogram scale and bins.
 HALF_WIDTH = 3
@@ -73,7 +73,7 @@ def extraction_stats(
         return F.when(good, F.when(inside, F.col(c)).otherwise(F.lit(0.0)))
 
     strictly = F.coalesce(F.col("mask") == 0, F.lit(False)) & inside
-    rows = cut_if_large(
+    rows = cut(
         image_residuals(pixels).withColumns(
             {
                 "__chi": valid("chi"),
@@ -176,7 +176,7 @@ def image_histogram(
     """Histogram of one plane over its scaled percentile range; ``normal`` adds a unit normal
     scaled to the highest bin.
     """
-    rows = cut_if_large(image_residuals(pixels).select(*keys, column))
+    rows = cut(image_residuals(pixels).select(*keys, column))
     limits = hist_limits(rows, keys, column, low, high)
     hist = histogram(rows.join(limits, list(keys)), keys, column, n, "lo", "hi")
     return with_normal(hist, keys, peak_scaled=True) if normal else hist

@@ -16,7 +16,7 @@ from ..operators.ordering import group_stats
 from ..operators.photometry import design_flux, magnitude_differences, synth_flux
 from ..operators.reshape import spread
 from ..operators.windows import first_per_key
-from ..sources.frames import cut_if_large, fiber_keys
+from ..sources.frames import cut, fiber_keys
 
 # Bands, positioning limit, S/N window and cut, color wavelengths, plot wavelengths.
 BANDS = ("g", "r", "i", "z", "y")
@@ -140,7 +140,7 @@ def locus_scatter(table: DataFrame, keys: Sequence[str] = ("visit",)) -> DataFra
         columns[f"obs_{name}"] = S.locus_residual(
             *[F.col(f"diff_{b}") + F.col(f"design_mag_{b}") for b in bands], name
         )
-    rows = cut_if_large(table.select(*keys, *[c.alias(n) for n, c in columns.items()]))
+    rows = cut(table.select(*keys, *[c.alias(n) for n, c in columns.items()]))
     marks = {}
     for n in columns:
         marks |= {f"{n}_25": (n, 0.25), f"{n}_75": (n, 0.75)}
@@ -169,7 +169,7 @@ def vector_color(
 
 def plane_norm(table: DataFrame, keys: Sequence[str], value: str) -> tuple[DataFrame, DataFrame]:
     """Values over their median, and the scatter of that in percent."""
-    rows = cut_if_large(against_median(table, keys, value, "normalized", divide=True))
+    rows = cut(against_median(table, keys, value, "normalized", divide=True))
     out = scatter(rows, keys, "normalized", "norm")
     return rows, out.withColumn("scatterPercent", F.col("normSigma") * 100.0)
 
@@ -181,7 +181,7 @@ def scaled_spectrum(
     """Good pixels over the spectrum's own median; ``fluxes`` adds the design fluxes and a
     narrow-J flux on the same scale.
     """
-    good = cut_if_large(spectra.where(F.col("mask") == 0))
+    good = cut(spectra.where(F.col("mask") == 0))
     middle = group_stats(good, keys, quantiles={"fluxMedian": ("flux", 0.5)})
     if fluxes is not None:
         mags = {f"__m_{b}": S.ab_mag(f"flux_{b}") for b in bands}
@@ -212,7 +212,7 @@ def visit_fibers(table: DataFrame, sn: DataFrame, flux_filter: str = "i", color:
 
 def guide_summary(series: DataFrame) -> DataFrame:
     """Median and sigma of transparency and seeing per visit."""
-    series = cut_if_large(series)
+    series = cut(series)
     a = scatter(series, ["visit"], "transparency_median", "transparency", T.IQR_PER_SIGMA)
     return a.join(scatter(series, ["visit"], "seeing_median", "seeing", T.IQR_PER_SIGMA), "visit")
 
@@ -233,7 +233,7 @@ def visit_results(
     has ``SN`` per fiber and ``guide`` is a guide-camera series. A visit that any of them has
     is in the result.
     """
-    merged, single = cut_if_large(merged), cut_if_large(single)
+    merged, single = cut(merged), cut(single)
     key = ["visit"]
     colored_m = merged.withColumn("__c", color_residual(*color))
     colored_s = single.withColumn("__c", color_residual(*color))

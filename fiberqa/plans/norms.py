@@ -15,7 +15,7 @@ from ..operators.lines import DATASET
 from ..operators.normalization import normalize_2d
 from ..operators.ordering import group_stats
 from ..operators.windows import median_filter, top_per_group
-from ..sources.frames import cut_if_large, fiber_keys
+from ..sources.frames import cut, fiber_keys
 
 # Wavelength bands, flag thresholds, plot limits and counts.
 BANDS = {"b": (450.0, 650.0), "r": (650.0, 950.0), "m": (650.0, 950.0), "n": (950.0, 1250.0)}
@@ -185,7 +185,7 @@ def norms_limits(norms: DataFrame, keys: Sequence[str] = ("visit", "arm"), value
     """Plot limits of the norms: median ± 2.5 deviations of the fibers' medians. The deviation
     is missing as soon as one fiber has no median.
     """
-    per_fiber = cut_if_large(group_stats(norms, [*keys, "fiberId"], quantiles={"v": (value, 0.5)}))
+    per_fiber = cut(group_stats(norms, [*keys, "fiberId"], quantiles={"v": (value, 0.5)}))
     sd = T.strict(F.stddev_pop("v"), "v")
     out = group_stats(per_fiber, keys, [sd.alias("__sd")], {"median": ("v", 0.5)})
     return out.select(
@@ -202,6 +202,6 @@ def with_range_class(table: DataFrame, column: str, lo: float, hi: float) -> Dat
 
 def stability(spectra: DataFrame, fibers: DataFrame, ref_visit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The whole job: per-fiber table, scalar record and flag of every (visit, arm)."""
-    pairs = cut_if_large(ratio_pairs(spectra, fibers, ref_visit))
-    sigma = cut_if_large(fiber_sigma(normalized_ratio(pairs)))
+    pairs = cut(ratio_pairs(spectra, fibers, ref_visit))
+    sigma = cut(fiber_sigma(normalized_ratio(pairs)))
     return fiber_table(sigma, fibers), norms_record(sigma), norms_flag(sigma)

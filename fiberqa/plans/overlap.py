@@ -13,7 +13,7 @@ from ..operators.interpolation import interpolate
 from ..operators.lines import measured_lines
 from ..operators.ordering import group_stats
 from ..operators.windows import first_per_key
-from ..sources.frames import cut_if_large
+from ..sources.frames import cut
 
 # Lines seen by both arms.
 OVERLAP_LINES = (
@@ -47,7 +47,7 @@ def wavelength_at_row(pairs: DataFrame, calibration: DataFrame, arms: tuple[str,
     (arm, spectrograph, fiberId, row, wavelength), and their difference.
     """
     keys = ["spectrograph", "fiberId"]
-    out = cut_if_large(pairs)
+    out = cut(pairs)
     for i, arm in enumerate(arms):
         knots = calibration.where(F.col("arm") == arm).select(*keys, F.col("row").alias(f"y{i}"), F.col("wavelength").alias(f"w{i}"))
         out = interpolate(out, knots, keys, f"y{i}", f"w{i}")

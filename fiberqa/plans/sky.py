@@ -16,7 +16,7 @@ from ..operators.ordering import average_rank, group_stats, percent_rank_of, ran
 from ..operators.reshape import dense_rows
 from ..operators.sampling import split_fibers
 from ..operators.windows import mean_of_others, median_of_others
-from ..sources.frames import cut_if_large, fiber_keys
+from ..sources.frames import cut, fiber_keys
 
 SALTS = 32
 
@@ -43,7 +43,7 @@ def subtract_others(
     sky = fibers.where(F.col("targetType") == "SKY").select(*keys_in)
     rows = spectra.join(sky, keys_in, "left_semi")
     others = {"median": median_of_others, "mean": mean_of_others}[how]
-    modelled = others(cut_if_large(rows), [*keys, "pix"], "flux", "skyModel")
+    modelled = others(cut(rows), [*keys, "pix"], "flux", "skyModel")
     return modelled.withColumn("residual", F.col("flux") - F.col("skyModel"))
 
 
@@ -107,14 +107,14 @@ def build_reference(
     A grid has no more points than the detector has rows, so the interpolated table is about
     as large as the spectra.
     """
-    usable = cut_if_large(rows.where("usable").withColumn("__m", model_value(model)))
+    usable = cut(rows.where("usable").withColumn("__m", model_value(model)))
     # Salted by fiber, or one task would make all grid rows of a large dataset.
     fibers = usable.select(*keys, "fiberId").distinct()
     fibers = fibers.withColumn("__salt", F.pmod(F.hash("fiberId"), F.lit(SALTS)))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     grid = reference_grid(usable, keys).withColumn("__salt", salts).join(fibers, [*keys, "__salt"]).drop("__salt")
     knots = usable.select(*keys, "fiberId", "wavelength", "__m")
-    on_grid = interpolate(cut_if_large(grid), knots, [*keys, "fiberId"], "wavelength", "__m", "value")
+    on_grid = interpolate(cut(grid), knots, [*keys, "fiberId"], "wavelength", "__m", "value")
     group = [*keys, "wavelength"]
     if func == "median":
         return group_stats(on_grid, group, [F.count("value").alias("fibers")], {"value": ("value", 0.5)})
@@ -126,7 +126,7 @@ def residual_against_sky(
     rows: DataFrame, keys: Sequence[str] = DATASET, fraction: float = 0.1, seed: int = 0, column: str = "residuals"
 ) -> DataFrame:
     """Median of ``column`` over test fibers, with the reference fibers' sky on the same grid."""
-    split = cut_if_large(split_fibers(rows.where("usable"), keys, fraction=fraction, seed=seed))
+    split = cut(split_fibers(rows.where("usable"), keys, fraction=fraction, seed=seed))
     sky = build_reference(split.where("isReference"), "none", "median", keys)
     test = build_reference(split.where(~F.col("isReference")), column, "median", keys)
     return interpolate(
@@ -143,9 +143,9 @@ def brightness_bins(rows: DataFrame, n: int = 10) -> DataFrame:
     total = rows.where("usable").withColumn("totalFlux", F.col("flux") + F.col("sky"))
     part = ["visit", "spectrograph"]
     out = percent_rank_of(total, [*part, "fiberId"], "totalFlux", "ranked")
-    out = ranked(cut_if_large(out), [*part, "arm", "fiberId"], "wavelength")
+    out = ranked(cut(out), [*part, "arm", "fiberId"], "wavelength")
     out = out.withColumn("wave_rank", average_rank()).drop("below", "ties", "n")
-    out = equal_width_bin(cut_if_large(out), part, "ranked", n, "bin")
+    out = equal_width_bin(cut(out), part, "ranked", n, "bin")
     return out.withColumn("ranked_bin", bin_label("bin", n))
 
 
@@ -165,8 +165,8 @@ def reference_brightness(
 ) -> DataFrame:
     """Reference chi spectrum of the test fibers binned by the sky brightness rank."""
     both = residual_against_sky(rows, keys, fraction, seed, column).withColumnRenamed("value", column)
-    out = percent_rank_of(cut_if_large(both), keys, "sky", "ranked")
-    out = equal_width_bin(cut_if_large(out), keys, "ranked", n, "bin")
+    out = percent_rank_of(cut(both), keys, "sky", "ranked")
+    out = equal_width_bin(cut(out), keys, "ranked", n, "bin")
     return out.withColumn("ranked_bin", bin_label("bin", n))
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SINGLE_TASK_BYTES = "fiberqa.singleTaskBytes"
-DEFAULT_SINGLE_TASK_BYTES = 64 * 1024 * 1024
 BROADCAST_BYTES = "fiberqa.broadcastBytes"
 DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
 COPIES = 32
@@ -45,8 +43,9 @@ def load_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate. It needs no job and errs upwards: a join counts as a
-    product. Of a table that was read from files it is the size of the files.
+    """The optimizer's size estimate, which needs no job. Of a table that was read from files it
+    is the size of the files; behind an ``explode`` or an aggregation it can be too small, so
+    what is broadcast by it is written first where its size is in doubt.
     """
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
@@ -55,11 +54,14 @@ def _limit(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    """Whether all of ``df`` is small enough for one task. If it is, no group of it can be too
-    large for a task either.
+def one_exposure(keys: Sequence[str]) -> bool:
+    """Whether a group of these keys lies in one exposure.
+
+    Such a group is bounded by the instrument, which has so many fibers, lines and pixels: its
+    values may be gathered in a task, however many exposures there are. Any other group grows
+    with the data, and no task may hold it.
     """
-    return estimated_bytes(df) <= _limit(df, SINGLE_TASK_BYTES, DEFAULT_SINGLE_TASK_BYTES)
+    return "visit" in keys
 
 
 def join_per_group(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -69,8 +71,6 @@ def join_per_group(rows: DataFrame, table: DataFrame, keys: Sequence[str], how:
     each task's rows of a group meet one of the copies, so that a group spreads over tasks.
     """
     keys = list(keys)
-    if fits_one_task(rows):
-        return rows.join(table, keys, how)
     if estimated_bytes(table) <= _limit(table, BROADCAST_BYTES, DEFAULT_BROADCAST_BYTES):
         return rows.join(F.broadcast(table), keys, how)
     copies = table.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
@@ -98,8 +98,3 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{application}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def cut_if_large(df: DataFrame) -> DataFrame:
-    """:func:`cut` for a table that several branches of a plan will read."""
-    return df if fits_one_task(df) else cut(df)

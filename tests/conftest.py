@@ -28,14 +28,15 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(params=["small", "large", "large without broadcast"])
-def size(request, spark):
-    """Run a test on the way for small inputs and on those for large inputs."""
-    from fiberqa.sources.frames import BROADCAST_BYTES, SINGLE_TASK_BYTES
-
-    spark.conf.set(SINGLE_TASK_BYTES, str(2**70) if request.param == "small" else "0")
-    if request.param == "large without broadcast":
+@pytest.fixture(params=["one exposure", "any group", "any group without broadcast"])
+def size(request, spark, monkeypatch):
+    """Run a test on the way for groups of one exposure and on that for groups of any size."""
+    from fiberqa.operators import clipping, interpolation, ordering
+    from fiberqa.sources.frames import BROADCAST_BYTES
+
+    for module in (clipping, interpolation, ordering):
+        monkeypatch.setattr(module, "one_exposure", lambda keys: request.param == "one exposure")
+    if request.param == "any group without broadcast":
         spark.conf.set(BROADCAST_BYTES, "0")
     yield request.param
-    spark.conf.unset(SINGLE_TASK_BYTES)
     spark.conf.unset(BROADCAST_BYTES)

@@ -1,10 +1,15 @@
 """Clipping and softening against short numpy versions."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fiberqa.operators import ranges
 from fiberqa.operators.clipping import clip_limits, sigma_clip, soften_fit
+from fiberqa.operators.ordering import LARGEST_EXPONENT
 
 
 def numpy_clip(x, sigma=3.0, rounds=5):
@@ -56,6 +61,50 @@ def test_value_on_the_limit_stays(spark, size):
     assert sigma_clip(df, ["k"], {"x": "o"}, rounds=1).where("o").count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_limit_does_not_depend_on_tasks(spark, size, tasks):
+    """Outer values that lie on the limit, in 200 groups: the same flags in every order and number of tasks."""
+    rng = np.random.default_rng(8)
+    rows = [(k, i, c + d) for k, (c, v) in enumerate(zip(rng.normal(0, 3, 200), rng.uniform(0.1, 2, 200))) for i, d in enumerate([0.0] * 16 + [v, -v])]
+    df = spark.createDataFrame(rows, "k int, i int, x double")
+    flags = [
+        {(r["k"], r["i"]): r["o"] for r in sigma_clip(d, ["k"], {"x": "o"}, rounds=1).collect()}
+        for d in (df.repartition(tasks, "i"), df.orderBy(F.col("i").desc()).coalesce(1))
+    ]
+    assert flags[0] == flags[1] and len(flags[0]) == 3600
+
+
+@pytest.mark.parametrize("kind", range(6))
+def test_limits_from_ranges_are_exact(kind):
+    """The rounds on tables of ranges against rounds on all values with exact sums."""
+    rng = np.random.default_rng(kind)
+    for n in (1, 2, 3, 40, 300):
+        x = [rng.normal(0, 1, n), rng.standard_t(1.5, n), 700 + rng.normal(0, 1e-9, n), rng.integers(-3, 4, n).astype(float),
+             rng.normal(0, 1, n) * 1e-5 + 3, rng.choice([0, 1e300, -1e-300, 5.0], n)][kind]
+        found: dict = {}
+        for v in x.tolist():
+            power = math.frexp(v)[1] - 1
+            places = int((Fraction(abs(v)) / Fraction(2) ** power - 1) * 2**52)
+            number = 0 if v == 0 else int(math.copysign((power + LARGEST_EXPONENT) * ranges.PER_OCTAVE + (places >> 52 - ranges.BITS), v))
+            m = 0 if v == 0 else places % (1 << 52 - ranges.BITS)
+            entry = found.setdefault(number, [0, 0, 0, {}])
+            entry[0], entry[1], entry[2] = entry[0] + 1, entry[1] + m, entry[2] + m * m
+            entry[3][v] = entry[3].get(v, 0) + 1
+        group = ranges._Group(list(found), *[[e[k] for e in found.values()] for k in range(3)])
+        values = {group.bins[i]: sorted(found[group.bins[i]][3].items()) for i in ranges._wanted(group, 3.0, 5)}
+        lo, hi = -math.inf, math.inf
+        for _ in range(5):
+            kept = np.sort(x[(x >= lo) & (x <= hi)])
+            if not len(kept):
+                break
+            exact = [Fraction(v) for v in kept.tolist()]
+            variance = (len(exact) * sum(v * v for v in exact) - sum(exact) ** 2) / len(exact) ** 2
+            width = 3.0 * float(np.std(kept / 1e200) * 1e200 if variance > 10**300 else math.sqrt(variance))
+            mid = (kept[(len(kept) - 1) // 2] + kept[len(kept) // 2]) / 2
+            lo, hi = max(lo, mid - width), min(hi, mid + width)
+        assert ranges._clipped(group, values, 3.0, 5) == pytest.approx((lo, hi), rel=1e-13)
+
+
 def test_softening_root(spark, size):
     rng = np.random.default_rng(5)
     rows = [("root", float(v), 0.1) for v in rng.normal(0, 0.5, 200)]

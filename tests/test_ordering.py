@@ -16,6 +16,7 @@ from fiberqa.operators.ordering import (
     ranked,
     value_bin,
 )
+from fiberqa.operators.placement import sorted_ranges
 
 ROWS = (
     [("a", float(x)) for x in (3, 1, 2, 2, 2, -7, 0)]
@@ -103,20 +104,30 @@ def test_bins_keep_the_order(spark, values):
 
 
 def test_hot_group_is_spread(spark):
-    """A third of all rows in one group: no task of the large way holds the group."""
-    from fiberqa.sources.frames import SINGLE_TASK_BYTES
-
-    spark.conf.set(SINGLE_TASK_BYTES, "0")
-    try:
-        df = spark.range(300_000).select(
-            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), F.rand(7).alias("x")
-        )
-        got = group_stats(df, ["k"], [F.count(F.lit(1)).alias("n")], {"m": ("x", 0.5)})
-        hot = got.where("k = 0").first()
-        want = df.where("k = 0").agg(F.percentile("x", F.lit(0.5)), F.count("x")).first()
-        assert (hot["m"], hot["n"]) == (pytest.approx(want[0]), want[1])
-    finally:
-        spark.conf.unset(SINGLE_TASK_BYTES)
+    """A third of all rows in one group that no exposure bounds."""
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), F.rand(7).alias("x")
+    )
+    got = group_stats(df, ["k"], [F.count(F.lit(1)).alias("n")], {"m": ("x", 0.5)})
+    hot = got.where("k = 0").first()
+    want = df.where("k = 0").agg(F.percentile("x", F.lit(0.5)), F.count("x")).first()
+    assert (hot["m"], hot["n"]) == (pytest.approx(want[0]), want[1])
+
+
+def test_hot_value_is_spread_over_ranges(spark):
+    """Two thirds of all rows are one value of one group: no range of the sort holds them all, and ranks are pandas'."""
+    df = spark.range(60_000).selectExpr("cast(id % 7 = 0 AS int) AS k", "IF(id % 3 = 0, double(id), 5.0D) AS x", "id")
+    largest = sorted_ranges(df, [F.col("k").asc(), F.col("x").asc()]).groupBy(F.shiftright("__at", 33)).count().agg(F.max("count")).first()[0]
+    assert largest < 20_000
+    frame = df.toPandas()
+    got = ranked(df, ["k"], "x").toPandas().set_index("id").sort_index()
+    group = frame.groupby("k").x
+    assert (got["below"].to_numpy() + 1 == group.rank(method="min").to_numpy()).all()
+    assert (got["ties"].to_numpy() == frame.groupby(["k", "x"]).id.transform("size").to_numpy()).all()
+    assert (got["n"].to_numpy() == group.transform("size").to_numpy()).all()
+    places = first_come_rank(df, ["k"], "x", ["id"], "place").toPandas().set_index("id").sort_index()["place"]
+    want = frame.sort_values(["k", "x", "id"]).groupby("k").cumcount() + 1
+    assert (places.to_numpy() == want.sort_index().to_numpy()).all()
 
 
 def test_missing_infinite_and_large_values(spark, size):
