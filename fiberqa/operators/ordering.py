@@ -275,7 +275,8 @@ def _ranks(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
     )
     # Values that end one range and begin the next.
     at_edge = (F.col("__x") == F.col("__least")) | (F.col("__x") == F.col("__most"))
-    known = runs.join(_renamed(ranges, place), null_safe(runs, _renamed(ranges, place), place, "__k_")).drop(*[f"__k_{k}" for k in place])
+    ranges = _renamed(ranges, place)
+    known = runs.join(ranges, null_safe(runs, ranges, place, "__k_")).drop(*[f"__k_{k}" for k in place])
     known = cut(known.withColumn("below", F.col("__before") + F.col("__first") - F.col("__start")).withColumn("__edge", at_edge))
     over = known.where("__edge").groupBy(*keys, "__x").agg(F.min("below").alias("__below"), F.sum("__here").alias("__ties"), F.count(F.lit(1)).alias("__ranges"))
     over = cut(over.where("__ranges > 1").drop("__ranges"))

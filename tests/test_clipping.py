@@ -65,7 +65,7 @@ def test_value_on_the_limit_stays(spark, size):
 def test_limit_does_not_depend_on_tasks(spark, size, tasks):
     """Outer values that lie on the limit, in 200 groups: the same flags in every order and number of tasks."""
     rng = np.random.default_rng(8)
-    rows = [(k, i, c + d) for k, (c, v) in enumerate(zip(rng.normal(0, 3, 200), rng.uniform(0.1, 2, 200))) for i, d in enumerate([0.0] * 16 + [v, -v])]
+    rows = [(k, i, float(c + d)) for k, (c, v) in enumerate(zip(rng.normal(0, 3, 200), rng.uniform(0.1, 2, 200))) for i, d in enumerate([0.0] * 16 + [v, -v])]
     df = spark.createDataFrame(rows, "k int, i int, x double")
     flags = [
         {(r["k"], r["i"]): r["o"] for r in sigma_clip(d, ["k"], {"x": "o"}, rounds=1).collect()}
