@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fiberqa.functions import scalars as S
 from fiberqa.plans import extraction as E
-from fiberqa.plans import norms as N
 
 from .registry import case
 
@@ -155,8 +153,7 @@ def _(v):
     "xFocal yFocal chiMed shown",
 )
 def _(v):
-    stats = E.extraction_stats(v.pixels).join(v.fibers.select("fiberId", "xFocal", "yFocal"), "fiberId")
-    out = N.with_range_class(stats, "chiMed", -5.0, 5.0).withColumn("shown", S.clamp("chiMed", -5.0, 5.0))
+    out = E.on_focal_plane(E.extraction_stats(v.pixels), v.fibers, "chiMed", -5.0, 5.0)
     return out.select("visit", "arm", "fiberId", "xFocal", "yFocal", "chiMed", "rangeClass", "shown")
 
 

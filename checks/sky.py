@@ -42,7 +42,7 @@ LOO = "s AS (SELECT * FROM spectra WHERE fiberId IN (SELECT fiberId FROM fibers
 
 @case(
     "sky_left_one_out_median", "Q10 I3 W6 J3", "spectra fibers",
-    f"""WITH {LOO} SELECT a.visit, a.arm, a.spectrograph, a.fiberId, a.pix, any_value(a.flux) AS flux, median(b.flux) AS skyModel, any_value(a.flux) - median(b.flux) AS residual
+    f"""WITH {LOO} SELECT a.visit, a.arm, a.spectrograph, a.fiberId, a.pix, any_value(a.flux) AS flux, median(b.flux) FILTER (WHERE b.mask = 0) AS skyModel, any_value(a.flux) - median(b.flux) FILTER (WHERE b.mask = 0) AS residual
     FROM s AS a LEFT JOIN s AS b ON a.visit = b.visit AND a.arm = b.arm AND a.spectrograph = b.spectrograph AND a.pix = b.pix AND a.fiberId <> b.fiberId GROUP BY a.visit, a.arm, a.spectrograph, a.fiberId, a.pix""",
     "flux skyModel residual",
 )
@@ -52,7 +52,7 @@ def _(v):
 
 @case(
     "sky_left_one_out_mean", "Q10 I3 W6", "spectra fibers",
-    f"""WITH {LOO} SELECT a.visit, a.arm, a.spectrograph, a.fiberId, a.pix, any_value(a.flux) AS flux, avg(b.flux) AS skyModel, any_value(a.flux) - avg(b.flux) AS residual
+    f"""WITH {LOO} SELECT a.visit, a.arm, a.spectrograph, a.fiberId, a.pix, any_value(a.flux) AS flux, avg(b.flux) FILTER (WHERE b.mask = 0) AS skyModel, any_value(a.flux) - avg(b.flux) FILTER (WHERE b.mask = 0) AS residual
     FROM s AS a LEFT JOIN s AS b ON a.visit = b.visit AND a.arm = b.arm AND a.spectrograph = b.spectrograph AND a.pix = b.pix AND a.fiberId <> b.fiberId GROUP BY a.visit, a.arm, a.spectrograph, a.fiberId, a.pix""",
     "flux skyModel residual",
 )

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..functions import stats as T
 from ..operators.binning import histogram, with_normal
 from ..operators.lines import DATASET
 from ..operators.ordering import group_stats
-from ..sources.frames import cut
+from ..sources.frames import cut, fiber_keys
 
 # Window half width, cut-out centers and half width, histogram scale and bins.
 HALF_WIDTH = 3
@@ -190,3 +191,16 @@ def peak_bin(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def target_counts(fibers: DataFrame, keys: Sequence[str] = ("spectrograph",)) -> DataFrame:
     return fibers.groupBy(*keys, "targetType").agg(F.count(F.lit(1)).alias("fibers"))
+
+
+def on_focal_plane(stats: DataFrame, fibers: DataFrame, column: str, low: float, high: float) -> DataFrame:
+    """Statistics of fibers at their places on the focal plane, with a color value.
+
+    ``rangeClass`` says whether ``column`` lies under, over or inside the range, ``shown`` is the
+    value held inside it. A configuration with a ``visit`` column is joined by visit and fiber.
+    """
+    keys = fiber_keys(fibers, "fiberId")
+    placed = stats.join(fibers.select(*keys, "xFocal", "yFocal"), keys)
+    x = F.col(column)
+    range_class = F.when(x < low, "under").when(x > high, "over").when(x.isNotNull(), "inside")
+    return placed.withColumns({"rangeClass": range_class, "shown": S.clamp(column, low, high)})

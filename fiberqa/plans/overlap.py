@@ -13,7 +13,7 @@ from ..operators.interpolation import interpolate
 from ..operators.lines import measured_lines
 from ..operators.ordering import group_stats
 from ..operators.windows import first_per_key
-from ..sources.frames import cut
+from ..sources.frames import cut, fiber_keys
 
 # Lines seen by both arms.
 OVERLAP_LINES = (
@@ -44,9 +44,10 @@ def overlap_pairs(
 
 def wavelength_at_row(pairs: DataFrame, calibration: DataFrame, arms: tuple[str, str]) -> DataFrame:
     """Calibrated wavelength of both rows, interpolated in a sampled table
-    (arm, spectrograph, fiberId, row, wavelength), and their difference.
+    (arm, spectrograph, fiberId, row, wavelength), and their difference. A calibration with a
+    ``visit`` column is taken visit by visit.
     """
-    keys = ["spectrograph", "fiberId"]
+    keys = fiber_keys(calibration, "spectrograph", "fiberId")
     out = cut(pairs)
     for i, arm in enumerate(arms):
         knots = calibration.where(F.col("arm") == arm).select(*keys, F.col("row").alias(f"y{i}"), F.col("wavelength").alias(f"w{i}"))

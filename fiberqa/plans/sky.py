@@ -38,13 +38,18 @@ def sky_columns(spectra: DataFrame) -> DataFrame:
 def subtract_others(
     spectra: DataFrame, fibers: DataFrame, keys: Sequence[str] = DATASET, how: str = "median"
 ) -> DataFrame:
-    """Residual of every sky fiber against the sky of all other sky fibers at its pixel."""
+    """Residual of every sky fiber against the sky of all other sky fibers at its pixel.
+
+    Masked pixels do not enter the model. They still get a residual, against the good pixels of
+    the other fibers. Spectra without a ``mask`` have no masked pixels.
+    """
     keys_in = fiber_keys(fibers, "fiberId")
     sky = fibers.where(F.col("targetType") == "SKY").select(*keys_in)
     rows = spectra.join(sky, keys_in, "left_semi")
     others = {"median": median_of_others, "mean": mean_of_others}[how]
-    modelled = others(cut(rows), [*keys, "pix"], "flux", "skyModel")
-    return modelled.withColumn("residual", F.col("flux") - F.col("skyModel"))
+    good = F.when(F.col("mask") == 0, F.col("flux")) if "mask" in rows.columns else F.col("flux")
+    modelled = others(cut(rows.withColumn("__good", good)), [*keys, "pix"], "__good", "skyModel")
+    return modelled.withColumn("residual", F.col("flux") - F.col("skyModel")).drop("__good")
 
 
 def chi_stats(rows: DataFrame, keys: Sequence[str] = DATASET) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fiberqa.plans import fluxcal, norms, overlap, sky
+from fiberqa.plans import extraction, fluxcal, norms, overlap, sky
 
 
 def rows_of(df):
@@ -49,3 +49,29 @@ def test_overlap_statistics_of_each_visit(spark):
     both = rows_of(overlap.overlap_stats(pairs))
     alone = [r for v in (1, 2) for r in rows_of(overlap.overlap_stats(pairs.where(F.col("visit") == v)))]
     assert len(both) == 4 and both == sorted(alone, key=repr)
+
+
+def test_masked_spike_changes_no_other_fiber(spark):
+    fibers = spark.createDataFrame([(f, "SKY") for f in range(1, 6)], "fiberId int, targetType string")
+    for how in ("median", "mean"):
+        seen = []
+        for spike in (7.0, 1e6):
+            rows = [(1, "r", 1, f, p, spike if (f, p) == (3, 0) else float(f * f + p), int((f, p) == (3, 0))) for f in range(1, 6) for p in (0, 1)]
+            spectra = spark.createDataFrame(rows, "visit int, arm string, spectrograph int, fiberId int, pix int, flux double, mask int")
+            got = {(r["fiberId"], r["pix"]): (r["skyModel"], r["residual"]) for r in sky.subtract_others(spectra, fibers, how=how).collect()}
+            assert len(got) == 10 and got[3, 0] == (11.5 if how == "mean" else 10.0, spike - got[3, 0][0])
+            seen.append({k: x for k, x in got.items() if k != (3, 0)})
+        assert seen[0] == seen[1]
+
+
+def test_calibration_and_places_of_each_visit(spark):
+    pairs = spark.createDataFrame([(v, 1, 7, 630.2, 5.0, 15.0) for v in (1, 2)], "visit int, spectrograph int, fiberId int, wavelength double, y0 double, y1 double")
+    knots = [(v, a, 1, 7, 10 * k, 600.0 + v + 10 * k * s) for v in (1, 2) for a, s in (("b", 1.0), ("r", 2.0)) for k in (0, 1, 2)]
+    calibration = spark.createDataFrame(knots, "visit int, arm string, spectrograph int, fiberId int, row int, wavelength double")
+    found = {r["visit"]: (r["w0"], r["w1"]) for r in overlap.wavelength_at_row(pairs, calibration, ("b", "r")).collect()}
+    assert found == {v: (605.0 + v, 630.0 + v) for v in (1, 2)}
+
+    stats = spark.createDataFrame([(v, 7, x) for v, x in ((1, -9.0), (2, 0.5))], "visit int, fiberId int, chiMed double")
+    places = spark.createDataFrame([(1, 7, 0.1, 0.2), (2, 7, 0.3, 0.4)], "visit int, fiberId int, xFocal double, yFocal double")
+    shown = {r["visit"]: (r["xFocal"], r["rangeClass"], r["shown"]) for r in extraction.on_focal_plane(stats, places, "chiMed", -5.0, 5.0).collect()}
+    assert shown == {1: (0.1, "under", -5.0), 2: (0.3, "inside", 0.5)}
