@@ -71,6 +71,23 @@ def _(v):
     return E.extraction_stats(window, ["spectrograph"], include_edge_zeros=True)
 
 
+@case(
+    "fiber_window_stats", "Q4 A7 G14", "detector traces spectra fibers",
+    f"""WITH good AS (SELECT spectrograph, fiberId, targetType FROM fibers WHERE fiberStatus = 'GOOD' AND targetType <> 'ENGINEERING'),
+    {WINDOWED}, z AS (SELECT spectrograph, fiberId, y, dx, image AS i0, chi AS c0, mask, ok, CASE WHEN ok AND mask = 0 THEN chi WHEN NOT ok THEN 0 END AS chi,
+      CASE WHEN ok AND mask = 0 THEN residual WHEN NOT ok THEN 0 END AS residual, CASE WHEN ok AND mask = 0 THEN image WHEN NOT ok THEN 0 END AS image FROM c JOIN good USING (spectrograph, fiberId)),
+    byrow AS (SELECT spectrograph, fiberId, y, sum(residual) / nullif(sum(image), 0) AS r FROM z GROUP BY ALL), rf AS (SELECT spectrograph, fiberId, median(r) * 100 AS resFrac FROM byrow GROUP BY ALL),
+    centers AS (SELECT spectrograph, fiberId, avg(xCenter) AS xa FROM traces GROUP BY ALL), flux AS (SELECT spectrograph, fiberId, avg(flux) AS pfsArmAve FROM spectra GROUP BY ALL),
+    st AS (SELECT spectrograph, fiberId, avg(c0 * c0) FILTER (WHERE ok AND mask = 0) AS chiSquare, avg(i0) FILTER (WHERE ok AND mask = 0) AS imAve, avg(chi) AS chiAve, avg(chi) FILTER (WHERE dx = 0) AS chiAtPeak,
+      median(chi) AS chiMed, (quantile_cont(chi, 0.75) - quantile_cont(chi, 0.25)) / 1.349 AS chiStd FROM z GROUP BY spectrograph, fiberId)
+    SELECT st.*, resFrac, xa, pfsArmAve, targetType FROM st JOIN rf USING (spectrograph, fiberId) JOIN centers USING (spectrograph, fiberId) JOIN good USING (spectrograph, fiberId) LEFT JOIN flux USING (spectrograph, fiberId)""",
+    STAT_DOUBLES + " pfsArmAve",
+)
+def _(v):
+    image = v.detector.withColumn("model", F.col("image") * 0.99)
+    return E.fiber_window_stats(v.traces, image, v.spectra, v.fibers, ["spectrograph"])
+
+
 PLANES = "image model residual variance chi frac_model frac_image".split()
 
 

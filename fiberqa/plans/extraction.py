@@ -12,14 +12,16 @@ from ..functions import stats as T
 from ..operators.binning import histogram, with_normal
 from ..operators.lines import DATASET
 from ..operators.ordering import group_stats
+from ..operators.tiles import center_column, image_tiles, trace_windows
 from ..sources.frames import cut, fiber_keys
 
-# Window half width, cut-out centers and half width, histogram scale and bins.
+# Window half width, cut-out centers and half width, histogram scale, target types left out.
 HALF_WIDTH = 3
 CUTOUT_X = (500, 2000, 3500)
 CUTOUT_Y = (3500, 2000, 500)
 CUTOUT_HALF = 75
 HIST_SCALE = 1.5
+OTHER_TYPES = ("ENGINEERING",)
 PLANES = ("image", "model", "residual", "variance", "chi", "frac_model", "frac_image")
 
 
@@ -39,17 +41,19 @@ def image_residuals(pixels: DataFrame) -> DataFrame:
 def trace_window(trace: DataFrame, image: DataFrame, keys: Sequence[str] = DATASET, half: int = HALF_WIDTH) -> DataFrame:
     """Pixels within ``half`` of each trace: (fiberId, y, xCenter) against (x, y, …).
 
-    The center is rounded half to even. ``inImage`` is false for offsets off the image.
+    ``image`` has one row per pixel, or is the result of :func:`image_tiles`, as images that
+    are read more than once should be stored. The center is rounded half to even.
+    ``inImage`` is false for offsets off the image.
     """
-    window = trace.select(
-        *keys,
-        "fiberId",
-        "y",
-        "xCenter",
-        F.explode(F.sequence(F.lit(-half), F.lit(half))).alias("dx"),
-    ).withColumn("x", (F.rint("xCenter") + F.col("dx")).cast("int"))
-    known = image.withColumn("inImage", F.lit(True))
-    return window.join(known, [*keys, "x", "y"], "left").withColumn("inImage", F.coalesce("inImage", F.lit(False)))
+    keys = list(keys)
+    tiles = image if "tile" in image.columns else image_tiles(image, keys)
+    windows = trace_windows(trace, tiles, keys, half)
+    pixels = windows.select(*keys, "fiberId", "y", "xCenter", F.posexplode("window").alias("__i", "__pixel"))
+    planes = [F.col(f"__pixel.{c}").alias(c) for c in tiles.schema["tile"].dataType.elementType.names]
+    dx = F.col("__i") - half
+    return pixels.select(
+        *keys, "fiberId", "y", "xCenter", dx.alias("dx"), (center_column() + dx).alias("x"), *planes, F.col("__pixel").isNotNull().alias("inImage")
+    )
 
 
 def extraction_stats(
@@ -99,6 +103,33 @@ def extraction_stats(
     return stats.drop("q25", "q75").join(_residual_fraction(rows, group), group)
 
 
+def fiber_window_stats(
+    trace: DataFrame,
+    image: DataFrame,
+    spectra: DataFrame,
+    fibers: DataFrame,
+    keys: Sequence[str] = DATASET,
+    without: Sequence[str] = OTHER_TYPES,
+    half: int = HALF_WIDTH,
+) -> DataFrame:
+    """Statistics of the good fibers of all target types but ``without``, from detector images.
+
+    ``xa`` is the mean of the trace centers over all rows, ``pfsArmAve`` the mean extracted
+    flux of the fiber (NULL without a spectrum), ``targetType`` comes from the configuration.
+    Windows are those of :func:`trace_window`; places off the image count as zeros. A
+    configuration with a ``visit`` column is joined by visit, which must then be among ``keys``.
+    """
+    group = [*keys, "fiberId"]
+    config = [c for c in fiber_keys(fibers, "spectrograph", "fiberId") if c in group]
+    good = (F.col("fiberStatus") == "GOOD") & ~F.col("targetType").isin(*without)
+    chosen = fibers.where(good).select(*config, "targetType").distinct()
+    trace = trace.join(chosen.select(*config), config, "left_semi")
+    stats = extraction_stats(trace_window(trace, image, keys, half), keys, include_edge_zeros=True).drop("xa")
+    centers = trace.groupBy(*group).agg(F.avg("xCenter").alias("xa"))
+    flux = spectra.groupBy(*group).agg(F.avg("flux").alias("pfsArmAve"))
+    return stats.join(centers, group).join(flux, group, "left").join(chosen, config)
+
+
 def _residual_fraction(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     by_row = rows.groupBy(*group, "y").agg(F.sum("__res").alias("__r"), F.sum("__img").alias("__i"))
     by_row = by_row.withColumn("__ratio", T.ratio("__r", "__i"))
