@@ -322,6 +322,48 @@ def _(v):
     return kept_rows(v).select(*GROUP, "fiberId", "wavelength", "mtp_A", "isTrace", "isLine", "xResid", "yResid", "xResidOutlier", "yResidOutlier", "xErr")
 
 
+STATUS_NAMES = {"USED": 1, "RESERVED": 2, "OTHER": 4}
+PIXELS = 11
+# Every detector has the radius that its own calibration gives, every visit its own reason.
+RADII = f"""middle AS (SELECT arm, spectrograph, f[len(f) // 2 + 1] AS fiberId, m FROM (SELECT arm, spectrograph, list_sort(list(DISTINCT fiberId)) AS f, (min(row) + max(row)) / 2 AS m FROM calibration GROUP BY ALL) AS d),
+  radii AS (SELECT arm, spectrograph, abs((arg_min(wavelength, row) FILTER (WHERE row > m) - arg_max(wavelength, row) FILTER (WHERE row <= m)) / (min(row) FILTER (WHERE row > m) - max(row) FILTER (WHERE row <= m))) AS width,
+    width * {PIXELS} AS radius FROM calibration JOIN middle USING (arm, spectrograph, fiberId) GROUP BY arm, spectrograph)"""
+NEAR = f"""sh AS (SELECT * REPLACE (wavelength + (fiberId % 3) * 0.7::DOUBLE AS wavelength) FROM lines), {RADII},
+  waves AS (SELECT {DS_SQL}, wavelength AS w, bit_or(status) AS status FROM sh WHERE description <> 'Trace' GROUP BY ALL),
+  near AS (SELECT a.visit, a.arm, a.spectrograph, a.w AS wavelength, a.status, bool_or(b.w IS NOT NULL) AS excluded FROM waves AS a LEFT JOIN radii AS r ON a.arm = r.arm AND a.spectrograph = r.spectrograph
+    LEFT JOIN waves AS b ON a.visit = b.visit AND a.arm = b.arm AND a.spectrograph = b.spectrograph AND a.w <> b.w AND abs(a.w - b.w) < r.radius GROUP BY a.visit, a.arm, a.spectrograph, a.w, a.status)"""
+BY_VISIT = f"""{NEAR}, has AS (SELECT {DS_SQL}, bool_or(description <> 'Trace') AS has_lines FROM sh GROUP BY {DS_SQL}),
+  good AS (SELECT sh.*, observationReason FROM sh JOIN has USING ({DS_SQL}) LEFT JOIN observations USING (visit) LEFT JOIN (SELECT * EXCLUDE (status) FROM near WHERE excluded) AS n USING ({DS_SQL}, wavelength)
+    WHERE NOT flag AND (observationReason = 'science' OR description <> 'Trace' OR NOT has_lines) AND (excluded IS NULL OR description = 'Trace')),
+  {CLIPPED.replace('FROM lines)', 'FROM good)')}, lo AS (SELECT *, y - 0.5 AS ra, y + 0.5 AS rb FROM clipped WHERE (isLine AND NOT yResidOutlier) OR (isTrace AND NOT xResidOutlier)),
+  {interp_sql('i0', 'lo', 'ra', 'calibration', ['arm', 'spectrograph', 'fiberId'], 'row', 'wavelength', 'w0')},
+  {interp_sql('i1', 'i0', 'rb', 'calibration', ['arm', 'spectrograph', 'fiberId'], 'row', 'wavelength', 'w1')}"""
+
+
+@case("exclusion_zone_by_detector", "J8 G39 U3", "lines calibration", f"WITH {NEAR} SELECT * FROM near", "wavelength")
+def _(v):
+    rows = D.with_observation(shifted(v), calibration=v.calibration, exclusion_pixels=PIXELS)
+    return L.exclusion_zone(rows, DS, F.col("exclusionRadius"))
+
+
+@case("dispersion_at_center", "J8 P29", "calibration", f"WITH {RADII} SELECT arm, spectrograph, width AS dispersion FROM radii", "dispersion")
+def _(v):
+    return L.dispersion_at_center(v.calibration)
+
+
+@case(
+    "residual_rows_by_visit", "Q1 F9 J1 J8", "lines calibration observations fibers",
+    f"""WITH {BY_VISIT} SELECT {GROUP_SQL}, observationReason, fiberId, wavelength, mtp_A, isTrace, xResid, yResid, abs(w1 - w0) AS dispersion,
+    CASE status WHEN 1 THEN 'USED' WHEN 2 THEN 'RESERVED' ELSE 'USED|RESERVED' END AS status_name FROM i1 JOIN (SELECT fiberId, mtp_A FROM fibers) AS f USING (fiberId)""",
+    "wavelength xResid yResid dispersion",
+)
+def _(v):
+    rows = D.residual_data(
+        shifted(v), bundles(v), observations=v.observations, calibration=v.calibration, exclusion_pixels=PIXELS, status_names=STATUS_NAMES
+    )
+    return rows.select(*GROUP, "observationReason", "fiberId", "wavelength", "mtp_A", "isTrace", "xResid", "yResid", "dispersion", "status_name")
+
+
 @case("residual_stats", "Q1 G5 R5", "lines fibers", f"WITH {STATS} SELECT * FROM stats", STAT_DOUBLES)
 def _(v):
     return flat_stats(v)

@@ -97,6 +97,10 @@ SELECT CASE n_nationkey % 5 WHEN 0 THEN 'g' WHEN 1 THEN 'r' WHEN 2 THEN 'i' WHEN
 FROM {nation}
 """,
     "exposures": "SELECT o_orderkey AS visit, o_orderdate AS time_exp_start, 300.0D0 + o_orderkey % 600 AS exptime FROM {orders}",
+    # why a visit was taken
+    "observations": """
+SELECT CAST(1000 + o_orderkey % 4 AS INT) AS visit, CASE o_orderkey % 4 WHEN 1 THEN 'arc' WHEN 3 THEN 'trace' ELSE 'science' END AS observationReason FROM {orders} GROUP BY 1, 2
+""",
     # several rows per visit; identical measurements are one row
     "telescope": """
 SELECT l_orderkey AS visit, CAST(l_linenumber AS INT) AS seq, 30.0D0 + max(l_quantity) AS altitude, max(l_quantity) * 7.0D0 AS azimuth, max(l_tax) * 100.0D0 AS insrot

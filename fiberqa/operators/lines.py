@@ -4,31 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import has_any, is_trace
 from ..functions.stats import ratio
+from ..sources.frames import join_per_group
 from .interpolation import interpolate
 
 DATASET = ("visit", "arm", "spectrograph")
 STAGES = ("flags", "traces", "status", "finite", "sn", "centroid", "zone")
 
 
-def exclusion_zone(lines: DataFrame, keys: Sequence[str], radius: float) -> DataFrame:
+def exclusion_zone(lines: DataFrame, keys: Sequence[str], radius: float | Column) -> DataFrame:
     """Distinct line wavelengths, the OR of their statuses, and whether another one is
     closer than ``radius``.
 
-    A neighbour that close is in the same cell of width ``radius`` or the next one, so the
-    extremes of each cell decide; no pair of lines is ever formed.
+    ``radius`` may be a column that is constant within ``keys``, so that each dataset has cells
+    of its own width; of several values the largest counts. A dataset without a positive radius
+    excludes nothing. A neighbour that close is in the same cell of width ``radius`` or the next
+    one, so the extremes of each cell decide; no pair of lines is ever formed.
     """
     keys = list(keys)
-    waves = (
-        lines.where(~is_trace())
-        .groupBy(*keys, "wavelength")
-        .agg(F.bit_or("status").alias("status"))
-        .withColumn("__cell", F.floor(F.col("wavelength") / radius))
-    )
+    waves = lines.where(~is_trace())
+    if isinstance(radius, Column):
+        widest = Window.partitionBy(*keys)
+        waves = (
+            waves.groupBy(*keys, "wavelength")
+            .agg(F.bit_or("status").alias("status"), F.max(radius).alias("__radius"))
+            .withColumn("__radius", F.max("__radius").over(widest))
+        )
+    else:
+        waves = waves.groupBy(*keys, "wavelength").agg(F.bit_or("status").alias("status")).withColumn("__radius", F.lit(float(radius)))
+    has_radius = F.coalesce(F.col("__radius") > 0, F.lit(False))
+    waves = waves.withColumn("__cell", F.when(has_radius, F.floor(F.col("wavelength") / F.col("__radius"))).otherwise(0))
     cells = waves.groupBy(*keys, "__cell").agg(
         F.min("wavelength").alias("__min"), F.max("wavelength").alias("__max"), F.count(F.lit(1)).alias("__n")
     )
@@ -36,42 +45,62 @@ def exclusion_zone(lines: DataFrame, keys: Sequence[str], radius: float) -> Data
     after = cells.select(*keys, (F.col("__cell") - 1).alias("__cell"), F.col("__min").alias("__after"))
     near = (
         (F.col("__n") > 1)
-        | F.coalesce(F.col("wavelength") - F.col("__before") < radius, F.lit(False))
-        | F.coalesce(F.col("__after") - F.col("wavelength") < radius, F.lit(False))
+        | F.coalesce(F.col("wavelength") - F.col("__before") < F.col("__radius"), F.lit(False))
+        | F.coalesce(F.col("__after") - F.col("wavelength") < F.col("__radius"), F.lit(False))
     )
     cell = [*keys, "__cell"]
     return (
         waves.join(cells.select(*cell, "__n"), cell)
         .join(before, cell, "left")
         .join(after, cell, "left")
-        .select(*keys, "wavelength", "status", near.alias("excluded"))
+        .select(*keys, "wavelength", "status", (has_radius & near).alias("excluded"))
     )
 
 
+def dispersion_at_center(calibration: DataFrame, keys: Sequence[str] = ("arm", "spectrograph")) -> DataFrame:
+    """(keys, dispersion): wavelength per pixel of the middle fiber across the middle row.
+
+    The middle fiber is the upper one of two. Its knots on both sides of the middle of all
+    rows decide; without one on each side the dispersion is NULL. Fibers of a detector are few.
+    """
+    keys = list(keys)
+    known = calibration.where(F.col("row").isNotNull() & F.col("wavelength").isNotNull())
+    fibers = F.sort_array(F.collect_set("fiberId"))
+    middle = known.groupBy(*keys).agg(fibers.alias("__f"), ((F.min("row") + F.max("row")) / 2).alias("__row"))
+    middle = middle.select(*keys, F.get("__f", F.floor(F.size("__f") / 2).cast("int")).alias("fiberId"), "__row")
+    knot, below = F.struct("row", "wavelength"), F.col("row") <= F.col("__row")
+    sides = join_per_group(known, middle, [*keys, "fiberId"]).groupBy(*keys).agg(F.max(F.when(below, knot)).alias("a"), F.min(F.when(~below, knot)).alias("b"))
+    return sides.select(*keys, F.abs((F.col("b.wavelength") - F.col("a.wavelength")) / (F.col("b.row") - F.col("a.row"))).alias("dispersion"))
+
+
 def line_stages(
     lines: DataFrame,
     keys: Sequence[str] = DATASET,
-    is_science: bool = False,
+    is_science: bool | Column = False,
     line_flags: int = 0,
     min_sn: float = 0.0,
     max_centroid_error: float = 0.0,
-    exclusion_radius: float = 0.0,
+    exclusion_radius: float | Column = 0.0,
 ) -> DataFrame:
     """Add one boolean ``ok_<stage>`` per stage, true while the line is still good.
 
     Zero turns a cut off. ``exclusion_radius`` is in wavelength units (dispersion times
     pixels). Traces are ignored in a dataset that also has lines, unless it is a science one.
+    ``is_science`` and ``exclusion_radius`` may be columns, which differ by dataset; a NULL
+    ``is_science`` is false.
     """
     keys = list(keys)
     trace = is_trace()
     out = lines.withColumn("ok_flags", ~F.col("flag"))
-    if is_science:
+    by_dataset = isinstance(is_science, Column)
+    if not by_dataset and is_science:
         out = out.withColumn("ok_traces", F.col("ok_flags"))
     else:
+        science = F.coalesce(is_science, F.lit(False)) if by_dataset else F.lit(False)
         has_lines = lines.groupBy(*keys).agg(F.bool_or(~trace).alias("__has_lines"))
         out = (
-            out.join(has_lines, keys)
-            .withColumn("ok_traces", F.col("ok_flags") & (~trace | ~F.col("__has_lines")))
+            join_per_group(out, has_lines, keys)
+            .withColumn("ok_traces", F.col("ok_flags") & (science | ~trace | ~F.col("__has_lines")))
             .drop("__has_lines")
         )
     out = out.withColumn(
@@ -107,7 +136,7 @@ def line_stages(
     else:
         out = out.withColumn("ok_centroid", F.col("ok_sn"))
 
-    if exclusion_radius > 0:
+    if isinstance(exclusion_radius, Column) or exclusion_radius > 0:
         crowded = (
             exclusion_zone(lines, keys, exclusion_radius)
             .where("excluded")

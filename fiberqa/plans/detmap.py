@@ -6,22 +6,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import stats as T
 from ..operators.binning import step_bin
 from ..operators.clipping import sigma_clip, soften_fit
-from ..operators.lines import DATASET, good_lines
+from ..operators.lines import DATASET, dispersion_at_center, good_lines, with_dispersion
 from ..operators.ordering import first_come_rank, group_stats
 from ..operators.reshape import melt_status
-from ..sources.frames import cut
+from ..sources.frames import cut, join_per_group
 
-# Order of the detectors in reports, and the report metrics.
+# Order of the detectors in reports, the report metrics, and the reason of a science visit.
 DETECTOR_ORDER = [f"{arm}{spec}" for arm in ("b", "r", "m", "n") for spec in (1, 2, 3, 4)]
 METRICS = ("median", "weightedRms", "softenFit")
 SIGMA_RANGE = 2.5
+SCIENCE = "science"
 
 
 def residual_columns(lines: DataFrame) -> DataFrame:
@@ -55,17 +56,58 @@ def scrub(lines: DataFrame, remove_flagged: bool = True, used_or_reserved: bool
     return residual_columns(lines.where(kept))
 
 
+def with_observation(
+    lines: DataFrame,
+    observations: DataFrame | None = None,
+    calibration: DataFrame | None = None,
+    exclusion_pixels: float = 0.0,
+) -> DataFrame:
+    """Lines with what differs by dataset: ``observationReason`` and ``isScience`` of the visit,
+    and ``exclusionRadius``, which is ``exclusion_pixels`` times the dispersion at the detector's
+    center.
+
+    ``observations`` has one row per visit. A visit without a reason is not a science one, a
+    detector without calibration has no radius.
+    """
+    if observations is not None:
+        reasons = observations.select("visit", "observationReason")
+        lines = join_per_group(lines.drop("observationReason"), reasons, ["visit"], "left")
+        lines = lines.withColumn("isScience", F.coalesce(F.col("observationReason") == SCIENCE, F.lit(False)))
+    if calibration is not None and exclusion_pixels > 0:
+        at_center = dispersion_at_center(calibration).withColumn("exclusionRadius", F.col("dispersion") * exclusion_pixels)
+        lines = join_per_group(lines.drop("exclusionRadius"), at_center.drop("dispersion"), ["arm", "spectrograph"], "left")
+    return lines
+
+
 def residual_data(
     lines: DataFrame,
     bundles: DataFrame | None = None,
     keys: Sequence[str] = DATASET,
-    is_science: bool = False,
+    is_science: bool | Column = False,
+    observations: DataFrame | None = None,
+    calibration: DataFrame | None = None,
+    exclusion_pixels: float = 0.0,
+    status_names: dict[str, int] | None = None,
     **cuts,
 ) -> DataFrame:
     """Good lines with their residuals and outlier flags, outliers removed: lines by their y
     residual, traces by x. ``bundles`` adds the fiber's bundle columns.
+
+    ``observations`` gives every visit its own science flag instead of ``is_science``, and
+    ``exclusion_pixels`` every detector its own radius (:func:`with_observation`).
+    ``calibration`` adds ``dispersion``, the wavelength per pixel at the line, and
+    ``status_names`` adds ``status_name``, the names of all bits that are set.
     """
+    lines = with_observation(lines, observations, calibration, exclusion_pixels)
+    if observations is not None:
+        is_science = F.col("isScience")
+    if "exclusionRadius" in lines.columns:
+        cuts["exclusion_radius"] = F.col("exclusionRadius")
     rows = scrub(good_lines(lines, keys, is_science=is_science, **cuts))
+    if status_names is not None:
+        rows = rows.withColumn("status_name", S.status_name("status", status_names))
+    if calibration is not None:
+        rows = with_dispersion(rows, calibration)
     groups = [*keys, "status_type", "description"]
     rows = sigma_clip(rows, groups, {"xResid": "xResidOutlier", "yResid": "yResidOutlier"})
     if bundles is not None:
@@ -79,8 +121,14 @@ def fit_stats(
     keys: Sequence[str] = (*DATASET, "status_type", "description"),
     num_params: int = 0,
     clipped_only: bool = True,
+    x_soften: float = 0.0,
+    y_soften: float = 0.0,
 ) -> DataFrame:
-    """Spatial and wavelength fit statistics per group, as two structs, with chi2 and dof."""
+    """Spatial and wavelength fit statistics per group, as two structs, with chi2 and dof.
+
+    ``x_soften`` and ``y_soften`` are added in quadrature to the errors of chi2 and of the
+    weighted RMS.
+    """
     keys = list(keys)
     if clipped_only:
         rows = rows.where(~F.col("xResidOutlier"))
@@ -106,10 +154,10 @@ def fit_stats(
         [
             (F.count(F.lit(1)) - half).alias("xDof"),
             (F.count("__y") - half).alias("yDof"),
-            T.chi2("xResid", "xErr").alias("chi2X"),
-            T.chi2("__y", "__yErr").alias("chi2Y"),
-            T.weighted_rms("xResid", "xErr").alias("xWeighted"),
-            T.weighted_rms("__y", "__yErr").alias("yWeighted"),
+            T.chi2("xResid", "xErr", x_soften).alias("chi2X"),
+            T.chi2("__y", "__yErr", y_soften).alias("chi2Y"),
+            T.weighted_rms("xResid", "xErr", x_soften).alias("xWeighted"),
+            T.weighted_rms("__y", "__yErr", y_soften).alias("yWeighted"),
         ],
         {
             "x25": ("xResid", 0.25),
@@ -150,8 +198,13 @@ def fit_stats(
     )
 
 
-def with_detector(stats: DataFrame, reason: str | None = None) -> DataFrame:
+def with_detector(stats: DataFrame, reason: str | DataFrame | None = None) -> DataFrame:
+    """Statistics with the detector's name, and ``observationReason``: one for all rows, or from
+    a table with one row per visit.
+    """
     out = stats.withColumn("ccd", S.ccd())
+    if isinstance(reason, DataFrame):
+        return join_per_group(out, reason.select("visit", "observationReason"), ["visit"], "left")
     return out if reason is None else out.withColumn("observationReason", F.lit(reason))
 
 
