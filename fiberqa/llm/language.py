@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.frames import cut, join_per_group
+from .sampling import spread
 from .words import chunks
 
 PIECE = 2048
@@ -28,6 +29,8 @@ SEARCH = {"strategy": zstandard.STRATEGY_LAZY2, "min_match": 3, "window_log": 16
 BARE = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
 #: At most so many texts of a language, and so many bytes of them, make its dictionary.
 PER_LANGUAGE, DICTIONARY = 300, 1 << 15
+#: A long text gives so many pieces of itself.
+PARTS = 4
 #: Bytes of dictionaries that are sent to the tasks at once. More languages take more blocks.
 BLOCK = 8 << 20
 #: The smallest share by which the runner-up must be larger.
@@ -58,6 +61,13 @@ def dictionary(texts: list[str], size: int) -> bytes:
     return b" ".join(filter(None, parts))
 
 
+def _shares(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+    """Of each whole text ``share`` bytes of letters, in pieces from its begin to its end."""
+    for batch in chunks(batches):
+        parts = [b" ".join(spread(letters_of(t), share, share // PARTS)).decode("utf-8", "ignore") for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(parts, pa.string())], names=["doc_id", "lang", "text"])
+
+
 def _dictionaries(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [dictionary([t["text"] for t in texts], size) for texts in batch.column("texts").to_pylist()]
@@ -67,7 +77,8 @@ def _dictionaries(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.R
 def fit(docs: DataFrame, learn: Column | None = None, per_language: int = PER_LANGUAGE, size: int = DICTIONARY) -> Model:
     """Dictionaries from at most ``per_language`` texts of each non-null ``lang``.
 
-    The texts are taken in order of a hash of their doc_id. Dictionaries are made in tasks; the
+    The texts are taken in order of a hash of their doc_id; each gives letters from its begin to
+    its end. Dictionaries are made in tasks; the
     driver holds ``size`` bytes of each language.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
@@ -78,8 +89,9 @@ def fit(docs: DataFrame, learn: Column | None = None, per_language: int = PER_LA
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ranked = usable.select(*keys).withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     first = cut(ranked.select("doc_id", "lang").distinct())
-    share = 4 * size // per_language + 1  # of a text goes in; the sample is bounded in bytes, too
-    texts = join_per_group(usable.select(*keys, F.substring(F.col("text").cast("string"), 1, share).alias("text")), first, ["doc_id", "lang"])
+    share = 4 * size // per_language + 1  # bytes of a text; the sample is bounded in bytes, too
+    texts = join_per_group(usable.select(*keys, F.col("text").cast("string").alias("text")), first, ["doc_id", "lang"])
+    texts = texts.select("doc_id", "lang", "text").mapInArrow(lambda it: _shares(it, share), "doc_id long, lang string, text string")
     each = texts.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))  # repeated ids are one text
     per = each.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("texts"))
     rows = sorted(tuple(r) for r in per.mapInArrow(lambda it: _dictionaries(it, size), "lang string, content binary").collect())

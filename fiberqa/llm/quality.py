@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordering import group_stats
+from ..sources.frames import cut
 from .sampling import labelled_sample
 from .words import SPACES, bytes_of, chunks, mix, words_of
 
@@ -92,16 +94,19 @@ class Model:
     scale: float = 1.0
     rest: float = 0.0
 
+    def raw(self, texts: pa.Array) -> np.ndarray:
+        """Weighted sums, of which only differences mean something."""
+        return (features(texts) - self.centre) @ self.weights
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         if self.weights is None:
             return np.full(len(texts), self.rest)
-        s = (features(texts) - self.centre) @ self.weights
-        x = (s - self.cut) * self.scale + np.log(CUT / (1 - CUT))
+        x = (self.raw(texts) - self.cut) * self.scale + np.log(CUT / (1 - CUT))
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(good: np.ndarray, bad: np.ndarray, share_bad: float, pairs: int = PAIRS, seed: int = 1) -> Model:
-    """Weights from features of preferred and of other texts, and the cut for ``share_bad``."""
+def train(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, seed: int = 1) -> Model:
+    """Weights from features of preferred and of other texts; the cut is left at 0."""
     if not len(good) or not len(bad):
         return Model(None, np.zeros(FEATURES), rest=1.0 if len(good) else 0.0)
     rng = np.random.default_rng(seed)
@@ -119,13 +124,7 @@ def train(good: np.ndarray, bad: np.ndarray, share_bad: float, pairs: int = PAIR
         if np.abs(move).max() < 1e-6:
             break
     w = w / spread
-    scores = (both - centre) @ w
-    weight = np.concatenate([np.full(len(good), (1 - share_bad) / len(good)), np.full(len(bad), share_bad / len(bad))])
-    order = np.argsort(scores)
-    total = np.cumsum(weight[order])
-    at = min(int(np.searchsorted(total, share_bad)), len(order) - 2)
-    cut = (scores[order][at] + scores[order][at + 1]) / 2
-    return Model(w, centre, float(cut), float(4 / max(scores.std(), 1e-9)))
+    return Model(w, centre, scale=float(4 / max(((both - centre) @ w).std(), 1e-9)))
 
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,16 +134,31 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), lists], names=["doc_id", "label", "x"])
 
 
+def _raw(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches):
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.raw(batch.column("text")))], names=["doc_id", "s"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Column | None = None, per_class: int = PER_CLASS) -> Model:
-    """Train on a bounded sample of the labelled documents; the quantile comes from all of them."""
+    """Train on a bounded sample of the labelled documents, texts of any length.
+
+    The cut is an exact quantile of the scores of all labelled documents for which ``learn``
+    holds: the one that has the share of bad ones among them below it.
+    """
     learn = F.lit(True) if learn is None else learn
     sample = labelled_sample(docs, labels, label, learn, per_class)
     rows = sample.mapInArrow(_features_of, "doc_id long, label int, x array<double>").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["x"]))
-    known = labels.where(learn & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
-    share = known.agg(F.avg((F.col(label) == 0).cast("int"))).first()[0] or 0.0
-    side = [np.array([r["x"] for r in rows if r["label"] == y]).reshape(-1, FEATURES) for y in (1, 0)]
-    return train(*side, share)
+    rows = sorted(rows, key=lambda r: r["doc_id"])
+    model = train(*[np.array([r["x"] for r in rows if r["label"] == y]).reshape(-1, FEATURES) for y in (1, 0)])
+    if model.weights is None:
+        return model
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+    known = known.where(learn).groupBy("doc_id").agg(F.max("label").alias("label"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & learn)
+    scored = cut(texts.mapInArrow(lambda it: _raw(it, model), "doc_id long, s double").join(known, "doc_id").select("s", "label"))
+    share = scored.agg(F.avg((F.col("label") == 0).cast("int"))).first()[0]
+    model.cut = group_stats(scored, [], quantiles={"cut": ("s", share)}).first()["cut"]
+    return model
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

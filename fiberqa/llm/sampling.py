@@ -2,11 +2,35 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Longer texts are not fitted on. They are scored like all others.
-LONGEST = 60_000
+
+def spread(whole: str | bytes, most: int, piece: int) -> list:
+    """Parts of ``whole`` of ``piece`` each, evenly spaced from its begin to its end, ``most`` together.
+
+    All of it where it is no longer than ``most``.
+    """
+    if len(whole) <= most:
+        return [whole]
+    piece = max(1, min(piece, most))
+    starts = np.linspace(0, len(whole) - piece, most // piece).astype(int) if most else []
+    return [whole[a : a + piece] for a in starts]
+
+
+def even_share(lengths: list[int], total: int) -> int:
+    """The greatest length such that texts cut to it have at most ``total`` together.
+
+    What short texts leave of an equal share goes to the longer ones.
+    """
+    left = total
+    for n, length in enumerate(sorted(lengths)):
+        fair = left // (len(lengths) - n)
+        if length > fair:
+            return fair
+        left -= length
+    return max(lengths, default=0)
 
 
 def fold(modulus: int) -> Column:
@@ -14,11 +38,12 @@ def fold(modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, longest: int = LONGEST) -> DataFrame:
-    """(text, label) of at most ``per_class`` documents of label 1 and as many of label 0.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``per_class`` documents of label 1 and as many of label 0.
 
     Documents are taken in order of a hash of their doc_id, each task sending no more than the
-    bound. A document with several labels has the largest; null labels are none.
+    bound. A document with several labels has the largest; null labels are none. Of several
+    texts of one doc_id the smallest counts. Whole texts of any length; null is empty.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
@@ -28,4 +53,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # The chosen ids are at most 2 * per_class rows, whatever the size of the table.
     few = F.broadcast(chosen[0].union(chosen[1]))
-    return texts.join(few, "doc_id").where(F.length("text") <= longest).select("doc_id", "text", "label")
+    return texts.join(few, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sampling import fold, labelled_sample
+from ..sources.frames import cut
+from .sampling import even_share, fold, labelled_sample, spread
 from .words import NOT_ALNUM, Words, chunks, mix, words_of
 
 WINDOW, STRIDE = 24, 12
@@ -27,6 +28,8 @@ WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 8, 8, 8
 KNOWN_WORDS, CHAR_BUCKETS = 4096, 4096
 #: At most so many labelled texts of each class are learned from.
 PER_CLASS = 2000
+#: Characters of them in the driver. Of the longest texts, pieces from begin to end are learned.
+SAMPLE_SIZE, PIECE = 8_000_000, 600
 STEPS, BATCH, RATE = 500, 128, 0.01
 _AT_ONCE = 2048
 
@@ -276,10 +279,32 @@ def train(texts: list[str], labels: np.ndarray, steps: int = STEPS, seed: int =
     return Model(vocabulary, p, threshold)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, per_class: int = PER_CLASS) -> Model:
-    """Train on a bounded sample of the labelled documents for which ``learn`` holds."""
-    sample = labelled_sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class)
-    rows = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["text"]))
+def excerpt(text: str, most: int) -> str:
+    """``text``, or evenly spaced pieces of it of ``most`` characters, without words cut in two."""
+    if len(text) <= most:
+        return text
+    return " ".join(p.partition(" ")[2].rpartition(" ")[0] or p for p in spread(text, most, PIECE))
+
+
+def _excerpts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches):
+        cut_down = pa.array([excerpt(t, most) for t in batch.column("text").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), cut_down, batch.column("label")], names=["doc_id", "text", "label"])
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column | None = None, per_class: int = PER_CLASS, size: int = SAMPLE_SIZE
+) -> Model:
+    """Train on a bounded sample of the labelled documents for which ``learn`` holds.
+
+    The sample has at most ``per_class`` texts of each class and ``size`` characters: where
+    whole texts are more, the longest ones give pieces from begin to end. No text is left out
+    for its length.
+    """
+    sample = cut(labelled_sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class))
+    most = even_share([r[0] for r in sample.select(F.length("text")).collect()], size)
+    rows = sample.mapInArrow(lambda it: _excerpts(it, most), "doc_id long, text string, label int").collect()
+    rows = sorted(rows, key=lambda r: r["doc_id"])
     return train([r["text"] for r in rows], np.array([r["label"] for r in rows]))
 
 
