@@ -80,12 +80,15 @@ def _(v):
     centers AS (SELECT spectrograph, fiberId, avg(xCenter) AS xa FROM traces GROUP BY ALL), flux AS (SELECT spectrograph, fiberId, avg(flux) AS pfsArmAve FROM spectra GROUP BY ALL),
     st AS (SELECT spectrograph, fiberId, avg(c0 * c0) FILTER (WHERE ok AND mask = 0) AS chiSquare, avg(i0) FILTER (WHERE ok AND mask = 0) AS imAve, avg(chi) AS chiAve, avg(chi) FILTER (WHERE dx = 0) AS chiAtPeak,
       median(chi) AS chiMed, (quantile_cont(chi, 0.75) - quantile_cont(chi, 0.25)) / 1.349 AS chiStd FROM z GROUP BY spectrograph, fiberId)
-    SELECT st.*, resFrac, xa, pfsArmAve, targetType FROM st JOIN rf USING (spectrograph, fiberId) JOIN centers USING (spectrograph, fiberId) JOIN good USING (spectrograph, fiberId) LEFT JOIN flux USING (spectrograph, fiberId)""",
+    SELECT st.*, resFrac, xa, pfsArmAve * pi() AS pfsArmAve, targetType FROM st JOIN rf USING (spectrograph, fiberId) JOIN centers USING (spectrograph, fiberId) JOIN good USING (spectrograph, fiberId) LEFT JOIN flux USING (spectrograph, fiberId)""",
     STAT_DOUBLES + " pfsArmAve",
 )
 def _(v):
     image = v.detector.withColumn("model", F.col("image") * 0.99)
-    return E.fiber_window_stats(v.traces, image, v.spectra, v.fibers, ["spectrograph"])
+    out = E.fiber_window_stats(v.traces, image, v.spectra, v.fibers, ["spectrograph"])
+    # Means of values with two decimals can end exactly between two rounded values, which the engines
+    # round differently; an irrational factor on both sides leaves no such ties.
+    return out.withColumn("pfsArmAve", F.col("pfsArmAve") * F.pi())
 
 
 PLANES = "image model residual variance chi frac_model frac_image".split()
