@@ -30,12 +30,12 @@ def synth_sql(where: str = "mask = 0", source: str = "quartz") -> str:
   synth AS (SELECT visit, fiberId, filter_name, sum(flux * t) / nullif(sum(t), 0) AS synthFlux FROM px GROUP BY ALL HAVING sum(t) <> 0)"""
 
 
-def flux_sql(where: str = "mask = 0") -> str:
+def flux_sql(where: str = "mask = 0", source: str = "quartz", stars: str = "targetType = 'FLUXSTD'") -> str:
     singles = ", ".join(f"max({mag('synthFlux')}) FILTER (WHERE filter_name = '{b}') AS single_mag_{b}" for b in BANDS)
     design = ", ".join(f"flux_{b} AS design_flux_{b}, {mag(f'flux_{b}')} AS design_mag_{b}" for b in BANDS)
     diffs = ", ".join(f"single_mag_{b} - design_mag_{b} AS diff_{b}, single_mag_g - single_mag_{b} AS color_g_{b}" for b in BANDS)
-    return f"""{synth_sql(where)}, singles AS (SELECT visit, fiberId, {singles} FROM synth GROUP BY ALL),
-  design AS (SELECT fiberId, spectrograph, objId, catId, ra, decl, xFocal, yFocal, {design} FROM fibers WHERE targetType = 'FLUXSTD'),
+    return f"""{synth_sql(where, source)}, singles AS (SELECT visit, fiberId, {singles} FROM synth GROUP BY ALL),
+  design AS (SELECT fiberId, spectrograph, objId, catId, ra, decl, xFocal, yFocal, {design} FROM fibers WHERE {stars}),
   ft AS (SELECT *, {diffs} FROM design JOIN singles USING (fiberId))"""
 
 
@@ -328,6 +328,69 @@ def _(v):
     return X.visit_results(table, table, X.fiber_sn(v.quartz), guide, "1.0", "tables")
 
 
+# The merged path: accepted standards, listed mask planes, counts over norm and exposure time.
+PLANES_OF_MERGED = {"BAD": 0, "SAT": 1, "CR": 3, "NO_DATA": 8, "REFLINE": 14}
+ACCEPTED = "targetType = 'FLUXSTD' AND fiberStatus = 'GOOD' AND sqrt(pow(xNominal - xFocal, 2) + pow(yNominal - yFocal, 2)) <= 0.05"
+MERGED = f"""mp AS (SELECT visit, fiberId, pix, wavelength, flux AS counts, covar0, flux / norm / exptime AS flux FROM merged JOIN shots USING (visit) WHERE mask & 267 = 0 AND fiberId IN (SELECT fiberId FROM fibers WHERE {ACCEPTED}))"""
+MERGED_SN = """sn AS (SELECT visit, fiberId, median(CASE WHEN wavelength > 840 AND wavelength < 875 AND covar0 > 0 THEN counts / sqrt(covar0) END) AS SN FROM mp GROUP BY ALL)"""
+MERGED_VIEWS = "merged shots fibers"
+
+
+def pixels(v):
+    return X.merged_pixels(v.merged, fibers(v), v.shots, PLANES_OF_MERGED)
+
+
+@case("merged_pixels", "Q9 F6 F13", MERGED_VIEWS, f"WITH {MERGED} SELECT * FROM mp", "wavelength counts covar0 flux")
+def _(v):
+    return pixels(v).select("visit", "fiberId", "pix", "wavelength", "counts", "covar0", "flux")
+
+
+@case("merged_flux_table", "Q9 P13 P14", f"{MERGED_VIEWS} filters", f"WITH {MERGED}, {flux_sql('true', 'mp', ACCEPTED)} SELECT * FROM ft", FT_DOUBLES)
+def _(v):
+    return X.flux_table(X.standards(fibers(v)), pixels(v), v.filters).withColumnRenamed("dec", "decl")
+
+
+@case("merged_sn", "Q9 G22", MERGED_VIEWS, f"WITH {MERGED}, {MERGED_SN} SELECT * FROM sn", "SN")
+def _(v):
+    return X.merged_sn(pixels(v))
+
+
+@case("low_sn_accepted", "Q9 F16", MERGED_VIEWS, f"WITH {MERGED}, {MERGED_SN} SELECT * FROM sn WHERE SN < 10", "SN")
+def _(v):
+    return X.low_sn(X.merged_sn(pixels(v)))
+
+
+@case("best_accepted", "Q9 W9", MERGED_VIEWS, f"WITH {MERGED}, {MERGED_SN} SELECT * FROM sn QUALIFY row_number() OVER (PARTITION BY visit ORDER BY SN DESC NULLS LAST, fiberId) = 1", "SN")
+def _(v):
+    return X.best_star(X.merged_sn(pixels(v)))
+
+
+@case("accepted_sn_scatter", "Q9 G20", MERGED_VIEWS, f"WITH {MERGED}, {MERGED_SN} SELECT visit, median(SN) AS mergedSNMedian, {sigma_sql('SN')} AS mergedSNSigma FROM sn GROUP BY visit", "mergedSNMedian mergedSNSigma")
+def _(v):
+    return X.scatter(X.merged_sn(pixels(v)), ["visit"], "SN", "mergedSN")
+
+
+def table_sql(name: str, where: str, source: str) -> str:
+    """CTE of a flux table of the accepted standards, with its steps inside."""
+    return f"{name} AS (WITH {flux_sql(where, source, ACCEPTED)} SELECT * FROM ft)"
+
+
+@case(
+    "visit_record", "Q9 G27 F16 G20", f"{MERGED_VIEWS} quartz filters seeing transparency",
+    f"""WITH {MERGED}, {MERGED_SN}, {table_sql('mt', 'true', 'mp')}, {table_sql('ft', 'mask = 0', 'quartz')}, {LOCUS}, gs AS (SELECT * FROM seeing JOIN transparency USING (agc_exposure_id)),
+    g AS (SELECT visit, median(transparency_median) AS "transparencyMedian", {sigma_sql('transparency_median', '1.349')} AS "transparencySigma", median(seeing_median) AS "seeingMedian", {sigma_sql('seeing_median', '1.349')} AS "seeingSigma" FROM gs GROUP BY visit),
+    m AS (SELECT visit, median(diff_i) AS "mergedMedian", {sigma_sql('diff_i')} AS "mergedSigma", median(design_mag_i) AS "imagMedian", {sigma_sql('design_mag_i')} AS "imagSigma", median(diff_g - diff_i) AS "mergedColorMedian", {sigma_sql('(diff_g - diff_i)')} AS "mergedColorSigma" FROM mt GROUP BY visit),
+    i AS (SELECT visit, median(diff_i) AS "singleMedian", {sigma_sql('diff_i')} AS "singleSigma", median(diff_g - diff_i) AS "singleColorMedian", {sigma_sql('(diff_g - diff_i)')} AS "singleColorSigma" FROM ft GROUP BY visit),
+    s AS (SELECT visit, median(SN) AS "mergedSNMedian", {sigma_sql('SN')} AS "mergedSNSigma" FROM sn GROUP BY visit),
+    l AS (SELECT visit, {sigma_sql('obs_gri')} AS "stellarSequenceSigmaGRI", {sigma_sql('obs_riz')} AS "stellarSequenceSigmaRIZ", {sigma_sql('obs_izy')} AS "stellarSequenceSigmaIZY" FROM loc GROUP BY visit)
+    SELECT *, '1.0' AS version, 'tables' AS collection, 'i' AS "mergedFilter", 'g-i' AS "mergedColorFilters" FROM g FULL JOIN m USING (visit) FULL JOIN i USING (visit) FULL JOIN s USING (visit) FULL JOIN l USING (visit)""",
+    RESULT_DOUBLES,
+)
+def _(v):
+    guide = v.seeing.join(v.transparency, "agc_exposure_id")
+    return X.visit_record(v.merged, v.quartz, v.shots, fibers(v), v.filters, guide, PLANES_OF_MERGED, "1.0", "tables")
+
+
 @case("band_scatter", "G20 G3", "fibers", f"SELECT targetType, median(flux_g) AS median, {sigma_sql('flux_g', '1.349')} AS sigma, 0.741 * (quantile_cont(flux_r, 0.75) - quantile_cont(flux_r, 0.25)) AS robust FROM fibers GROUP BY ALL", "median sigma robust")
 def _(v):
     q = {"a": ("flux_g", 0.25), "median": ("flux_g", 0.5), "b": ("flux_g", 0.75), "c": ("flux_r", 0.25), "d": ("flux_r", 0.75)}

@@ -8,6 +8,7 @@ from fiberqa.functions import scalars as S
 from fiberqa.operators.normalization import normalize_2d
 from fiberqa.operators.windows import median_filter
 from fiberqa.plans import norms as N
+from fiberqa.sources.catalog import stability_inputs
 from fiberqa.sources.frames import cut
 
 from .registry import case
@@ -178,3 +179,38 @@ def _(v):
 def _(v):
     _, record, flag = N.stability(v.quartz, v.fibers, 1000)
     return record.join(flag, ["visit", "arm"]).select("visit", "arm", "sigma_std_95", "sigma_iqr", "flag")
+
+
+# From the catalogue on: complete groups, the reference of each dataset, header values.
+JOB_INPUTS = """ls AS (SELECT DISTINCT * FROM lamp_datasets WHERE dataset_type = 'spectra'),
+  lg AS (SELECT DISTINCT s.visit, s.arm FROM ls AS s JOIN lamp_datasets AS n ON n.dataset_type = 'norms' AND n.visit = s.visit AND n.arm = s.arm JOIN lamp_datasets AS c ON c.dataset_type = 'config' AND c.visit = s.visit),
+  lr AS (SELECT min(visit) AS r FROM lg), li AS (SELECT s.instrument, s.visit, s.arm, s.spectrograph, r AS refVisit FROM ls AS s JOIN lg USING (visit, arm) CROSS JOIN lr WHERE s.visit <> r AND EXISTS (SELECT 1 FROM ls AS t WHERE t.visit = r AND t.arm = s.arm AND t.spectrograph = s.spectrograph))"""
+JOB_SIGMA = f"{JOB_INPUTS}, {SIGMA.replace('WHERE t.visit <> 1000', 'WHERE (t.visit, t.arm, t.spectrograph) IN (SELECT (visit, arm, spectrograph) FROM li)')}"
+
+
+def job(v):
+    cards = v.lamp_headers.withColumn("metadata", F.create_map(F.lit("HST"), "hst", F.lit("INSROT"), "insrot", F.lit("AZIMUTH"), "azimuth"))
+    return N.stability_job(v.lamp_datasets, v.quartz, v.fibers, cards)
+
+
+@case("stability_inputs", "Q7 S3 S4 S5", "lamp_datasets", f"WITH {JOB_INPUTS} SELECT * FROM li")
+def _(v):
+    return stability_inputs(v.lamp_datasets, N.INPUT_TYPES)
+
+
+@case(
+    "stability_job", "Q7 S3 S4 S9 G29 G30", "lamp_datasets lamp_headers quartz fibers",
+    f"""WITH {JOB_SIGMA}, h AS (SELECT visit, arm, min(hst) AS hst, min(insrot) AS insrot, min(azimuth) AS azimuth FROM lamp_headers JOIN li USING (visit, arm, spectrograph) GROUP BY ALL),
+    k AS (SELECT visit, arm, CASE WHEN count(sigma_std) = count(*) THEN median(sigma_std) END AS sigma_std_median, quantile_cont(sigma_std, 0.95) AS sigma_std_95, CASE WHEN count(sigma_std) = count(*) THEN median(sigma_std) * 2 END AS twosigma_std,
+      quantile_cont(sigma_std, 0.95) * 2 AS twosigma_std_95, median(sigma) AS sigma_iqr, median(sigma) AS sigmaMedian, median(sigma) + 4 * stddev_pop(sigma) AS sigmaLimit, CASE WHEN median(sigma) >= {LIMIT} THEN 'Yes' ELSE 'No' END AS flag FROM sigma GROUP BY visit, arm)
+    SELECT k.*, r AS refVisit, hst, insrot, azimuth FROM k LEFT JOIN h USING (visit, arm) CROSS JOIN lr""",
+    "sigma_std_median sigma_std_95 twosigma_std twosigma_std_95 sigma_iqr sigmaMedian sigmaLimit",
+)
+def _(v):
+    return job(v)[1]
+
+
+@case("stability_fibers", "Q7 J9", "lamp_datasets quartz fibers", f"WITH {JOB_SIGMA}{TABLE[len(SIGMA):]} SELECT visit, arm, fiberId, mtp_A, mtpGroup, SM, sigma, sigma_std FROM tab", "sigma sigma_std")
+def _(v):
+    cards = v.quartz.select("visit", "arm", "spectrograph").distinct().withColumn("metadata", F.create_map().cast("map<string,string>"))
+    return N.stability_job(v.lamp_datasets, v.quartz, v.fibers, cards)[0]

@@ -88,6 +88,32 @@ SELECT CAST(1000 + v AS INT) AS visit, arm, CAST(f AS INT) AS fiberId, CAST(1 +
 FROM (SELECT l_linenumber % 3 AS v, {ARM} AS arm, l_suppkey AS f, l_partkey % 50 AS p,
     sum(floor(l_extendedprice * 100.0D0 + 0.5D0)) AS s
   FROM {{lineitem}} GROUP BY l_linenumber % 3, {ARM}, l_suppkey, l_partkey % 50) AS q
+""",
+    # merged spectra in counts with several mask planes; standards from faint to bright
+    "merged": f"""
+SELECT visit, fiberId, pix, wavelength, flux, norm, mask, CASE WHEN pix % 17 = 0 THEN 0.0D0 ELSE floor((flux / snr) * (flux / snr)) END AS covar0
+FROM (
+  SELECT CAST(1000 + v AS INT) AS visit, CAST(f AS INT) AS fiberId, CAST(p AS INT) AS pix, 420.0D0 + p * 5.0D0 AS wavelength,
+    (20000.0D0 + f % 1000 * 9.0D0 + p * 4.0D0 + s % 101) * (4.0D0 + (p * 7 + f * 3 + v) % 50 / 10.0D0) AS flux, 4.0D0 + (p * 7 + f * 3) % 50 / 10.0D0 AS norm,
+    4.0D0 + (f * 7 + v) % 29 + p % 5 / 10.0D0 AS snr,
+    CAST(CASE WHEN (f + p) % 31 = 0 THEN 1 WHEN (f + p) % 31 = 7 THEN 8 WHEN (f + p) % 31 = 9 THEN 2 WHEN (f + p) % 31 = 11 THEN 256 ELSE 0 END + CASE WHEN p % 3 = 0 THEN 16384 ELSE 0 END AS INT) AS mask
+  FROM (SELECT l_linenumber % 3 AS v, l_suppkey AS f, l_partkey % 100 AS p, sum(floor(l_extendedprice * 100.0D0 + 0.5D0)) AS s
+    FROM {{lineitem}} GROUP BY l_linenumber % 3, l_suppkey, l_partkey % 100) AS g
+) AS m
+""",
+    # exposure times, one visit unknown
+    "shots": "SELECT CAST(1000 + l_linenumber % 3 AS INT) AS visit, 450.0D0 + 60.0D0 * (l_linenumber % 3) AS exptime FROM {lineitem} WHERE l_linenumber % 3 < 2 GROUP BY l_linenumber % 3",
+    # what a stability job finds: norms missing for one visit and arm, one spectrograph missing in the first visit
+    "lamp_datasets": f"""
+SELECT 'spectra' AS dataset_type, 'MOS' AS instrument, CAST(1000 + l_linenumber % 3 AS INT) AS visit, {ARM} AS arm, CAST(1 + l_suppkey % 4 AS INT) AS spectrograph
+FROM {{lineitem}} WHERE NOT (l_linenumber % 3 = 0 AND l_returnflag = 'N' AND l_suppkey % 4 = 1)
+UNION SELECT 'config', 'MOS', CAST(1000 + l_linenumber % 3 AS INT), NULL, NULL FROM {{lineitem}}
+UNION SELECT 'norms', 'MOS', CAST(1000 + l_linenumber % 3 AS INT), {ARM}, NULL FROM {{lineitem}} WHERE NOT (l_linenumber % 3 = 2 AND l_returnflag = 'R')
+""",
+    "lamp_headers": f"""
+SELECT CAST(1000 + l_linenumber % 3 AS INT) AS visit, {ARM} AS arm, CAST(1 + l_suppkey % 4 AS INT) AS spectrograph,
+  concat('2025-01-0', CAST(1 + l_linenumber % 3 AS STRING), 'T10:00:00') AS hst, CAST(max(l_linenumber) * 10 AS STRING) AS insrot, CAST(90 + l_linenumber % 3 AS STRING) AS azimuth
+FROM {{lineitem}} GROUP BY l_linenumber % 3, {ARM}, 1 + l_suppkey % 4
 """,
     # filter curves, five knots for each of five filters
     "filters": """

@@ -4,7 +4,7 @@ record of one visit.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ MAX_OFFSET = 0.05
 SN_WINDOW = (840.0, 875.0)
 LOW_SN = 10.0
 EXAMPLE_WAVES = (479.65, 616.09, 750.62, 865.83, 961.15, 1150.0)
+# Mask planes that make a pixel of a merged spectrum unusable.
+BAD_PLANES = ("BAD", "CR", "SAT", "NO_DATA")
 
 
 def standards(fibers: DataFrame, max_offset: float | None = MAX_OFFSET, good: bool = True) -> DataFrame:
@@ -45,6 +47,26 @@ def calibrated_of(spectra: DataFrame, fibers: DataFrame, on: Sequence[str] = ("o
     return spectra.join(chosen, chosen.columns).join(fibers.select(*keys, "fiberId"), keys)
 
 
+def merged_pixels(
+    spectra: DataFrame, fibers: DataFrame, exposures: DataFrame, planes: Mapping[str, int], bad: Sequence[str] = BAD_PLANES
+) -> DataFrame:
+    """Usable pixels of the accepted standards in merged spectra.
+
+    ``planes`` maps a mask plane to its bit, and a pixel with one of the ``bad`` planes set is
+    left out; other planes do no harm. ``flux`` becomes counts over norm and exposure time,
+    NULL where either is zero; the counts, which the S/N is made of, stay as ``counts``. A
+    visit without an exposure time has no pixels.
+    """
+    bits = sum(1 << planes[name] for name in bad)
+    stars = standards(fibers)
+    keys = fiber_keys(stars, "fiberId")
+    good = spectra.where(F.col("mask").bitwiseAND(F.lit(bits)) == 0).join(stars.select(*keys), keys, "left_semi")
+    timed = good.join(exposures.select("visit", "exptime"), "visit")
+    return timed.withColumns(
+        {"counts": F.col("flux"), "flux": T.ratio(T.ratio("flux", "norm"), "exptime"), "mask": F.lit(0)}
+    ).drop("exptime")
+
+
 def measured_magnitudes(
     spectra: DataFrame, filters: DataFrame, keys: Sequence[str] = ("visit", "fiberId"), zero: float = S.ZERO_POINT
 ) -> DataFrame:
@@ -111,6 +133,11 @@ def fiber_sn(
     return group_stats(rows, keys, quantiles={"SN": ("__sn", 0.5)})
 
 
+def merged_sn(pixels: DataFrame, keys: Sequence[str] = ("visit", "fiberId"), window: tuple[float, float] = SN_WINDOW) -> DataFrame:
+    """S/N of the counts of :func:`merged_pixels`, so of accepted standards only."""
+    return fiber_sn(pixels.withColumn("flux", F.col("counts")), keys, window)
+
+
 def low_sn(sn: DataFrame, limit: float = LOW_SN) -> DataFrame:
     return sn.where(F.col("SN") < limit)
 
@@ -264,3 +291,24 @@ def visit_results(
     )
 
 
+def visit_record(
+    merged: DataFrame,
+    single: DataFrame,
+    exposures: DataFrame,
+    fibers: DataFrame,
+    filters: DataFrame,
+    guide: DataFrame,
+    planes: Mapping[str, int],
+    version: str,
+    collection: str,
+) -> DataFrame:
+    """The scalars of each visit from its spectra: ``merged`` in counts and ``single`` calibrated.
+
+    Both flux tables hold the accepted standards; a pixel counts by the listed planes of
+    ``merged`` and by any plane of ``single``.
+    """
+    stars = standards(fibers)
+    pixels = cut(merged_pixels(merged, fibers, exposures, planes))
+    return visit_results(
+        flux_table(stars, pixels, filters), flux_table(stars, single, filters), merged_sn(pixels), guide, version, collection
+    )

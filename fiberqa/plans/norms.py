@@ -15,6 +15,7 @@ from ..operators.lines import DATASET
 from ..operators.normalization import normalize_2d
 from ..operators.ordering import group_stats
 from ..operators.windows import median_filter, top_per_group
+from ..sources.catalog import metadata, stability_inputs
 from ..sources.frames import cut, fiber_keys
 
 # Wavelength bands, flag thresholds, plot limits and counts.
@@ -24,6 +25,13 @@ KERNEL = 15
 ODD_FIBERS = 15
 CLIP = 4
 PIXELS = (1500, 3500)
+# Inputs of a stability job with their dimensions, header values in its record.
+INPUT_TYPES = {
+    "config": ("instrument", "visit"),
+    "spectra": ("instrument", "visit", "arm", "spectrograph"),
+    "norms": ("instrument", "visit", "arm"),
+}
+HEADER_CARDS = ("HST", "INSROT", "AZIMUTH")
 
 
 def _by_arm(values: dict[str, float], arm: str = "arm") -> Column:
@@ -60,8 +68,28 @@ def ratio_pairs(spectra: DataFrame, fibers: DataFrame, ref_visit: int) -> DataFr
     reference = spectra.where(F.col("visit") == ref_visit).select(
         *place, F.col("flux").alias("refFlux"), F.col("norm").alias("refNorm")
     )
+    return _with_ratios(target.join(reference, place))
+
+
+def ratio_pairs_of(spectra: DataFrame, fibers: DataFrame, datasets: DataFrame) -> DataFrame:
+    """:func:`ratio_pairs` of the ``datasets`` (visit, arm, spectrograph, refVisit) that a
+    catalogue names, each against its own reference visit.
+    """
+    keys = fiber_keys(fibers, "fiberId", "spectrograph")
+    spectra = spectra.join(usable_fibers(fibers).select(*keys), keys, "left_semi")
+    asked = datasets.select("visit", "arm", "spectrograph", "refVisit")
+    target = spectra.join(asked, ["visit", "arm", "spectrograph"])
+    place = ["refVisit", "arm", "spectrograph", "fiberId", "pix"]
+    reference = spectra.withColumnRenamed("visit", "refVisit").select(
+        *place, F.col("flux").alias("refFlux"), F.col("norm").alias("refNorm")
+    )
+    wanted = asked.select(*place[:3]).distinct()
+    return _with_ratios(target.join(reference.join(wanted, place[:3], "left_semi"), place))
+
+
+def _with_ratios(pairs: DataFrame) -> DataFrame:
     flattened = T.ratio(T.ratio("flux", "norm"), T.ratio("refFlux", "refNorm"))
-    return target.join(reference, place).withColumns(
+    return pairs.withColumns(
         {
             "naive": in_band(finite_or_null(T.ratio("flux", "refFlux"))),
             "flattened": in_band(finite_or_null(flattened)),
@@ -205,3 +233,27 @@ def stability(spectra: DataFrame, fibers: DataFrame, ref_visit: int) -> tuple[Da
     pairs = cut(ratio_pairs(spectra, fibers, ref_visit))
     sigma = cut(fiber_sigma(normalized_ratio(pairs)))
     return fiber_table(sigma, fibers), norms_record(sigma), norms_flag(sigma)
+
+
+def stability_job(
+    catalog: DataFrame,
+    spectra: DataFrame,
+    fibers: DataFrame,
+    headers: DataFrame,
+    types: dict[str, Sequence[str]] = INPUT_TYPES,
+    ref_visit: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Everything from the catalogue on: per-fiber table, and the record of every (visit, arm)
+    with its reference visit, header values and flag.
+
+    ``headers`` has a map ``metadata`` per dataset. Broken groups and an empty selection fail the
+    job (:func:`fiberqa.sources.catalog.stability_inputs`).
+    """
+    keys = ["visit", "arm"]
+    datasets = cut(stability_inputs(catalog, types, ref_visit=ref_visit))  # a few rows, read three times
+    sigma = cut(fiber_sigma(normalized_ratio(cut(ratio_pairs_of(spectra, fibers, datasets)))))
+    own = headers.join(datasets.select(*DATASET), list(DATASET), "left_semi")
+    cards = metadata(own, keys, HEADER_CARDS).withColumnsRenamed({c: c.lower() for c in HEADER_CARDS})
+    reference = datasets.groupBy(*keys).agg(F.min("refVisit").alias("refVisit"))
+    record = norms_record(sigma).join(norms_flag(sigma), keys).join(reference, keys).join(cards, keys, "left")
+    return fiber_table(sigma, fibers), record

@@ -51,21 +51,57 @@ def require_groups(groups: DataFrame) -> DataFrame:
     return groups
 
 
-def with_reference(spectra: DataFrame, ref_visit: int | None = None) -> DataFrame:
+def checked_groups(groups: DataFrame) -> DataFrame:
+    """The groups, as part of the plan: the job that reads them fails when there is none or one
+    breaks its multiplicity. Nothing runs before that job, and only a count is made beside it.
+    """
+    message = F.concat(F.lit("more than one dataset in a group of type "), F.col("violation"))
+    ok = F.when(F.col("violation").isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return groups.where(ok).unionByName(_none_or_error(groups, "no dataset group matches the selection"))
+
+
+def _none_or_error(rows: DataFrame, message: str) -> DataFrame:
+    """A table without rows and with the columns of ``rows``, which fails when ``rows`` is empty."""
+    nothing = F.when(F.col("__n") > 0, F.lit(False)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    return rows.agg(F.count(F.lit(1)).alias("__n")).where(nothing).select(*blank)
+
+
+def stability_inputs(
+    catalog: DataFrame, types: dict[str, Sequence[str]], spectra: str = "spectra", ref_visit: int | None = None
+) -> DataFrame:
+    """Datasets of spectra to compare, with ``refVisit``, as one lazy plan.
+
+    A dataset takes part when every type of ``types`` is present at its instrument, visit and
+    arm, and the reference visit has the same arm and spectrograph. The reference needs no
+    complete group of its own when it is given; otherwise it is the earliest visit of the
+    groups. Reading the result fails when a group is broken or nothing is left.
+    """
+    by = ["instrument", "visit", "arm"]
+    groups = checked_groups(dataset_groups(catalog, types, by, multiple=[spectra]))
+    available = catalog.where(F.col("dataset_type") == spectra)
+    found = with_reference(available.join(groups.select(*by), by, "left_semi"), ref_visit, available)
+    return found.unionByName(_none_or_error(found, "no dataset group has reference spectra"))
+
+
+def with_reference(spectra: DataFrame, ref_visit: int | None = None, available: DataFrame | None = None) -> DataFrame:
     """Datasets with the reference visit that has the same instrument, arm and spectrograph.
 
     The reference is ``ref_visit`` or the earliest visit. Its own datasets, and those without
-    a counterpart there, are dropped.
+    a counterpart there, are dropped. Counterparts are looked up in ``available``, which is
+    ``spectra`` unless given.
     """
     place = ["instrument", "arm", "spectrograph"]
+    known = spectra if available is None else available
+    known = known.select(*place, "visit").distinct()
     spectra = spectra.select(*place, "visit").distinct()
     if ref_visit is None:
         first = spectra.agg(F.min("visit").alias("refVisit"))  # one row
         spectra = spectra.crossJoin(F.broadcast(first))
     else:
         spectra = spectra.withColumn("refVisit", F.lit(ref_visit))
-    reference = spectra.where(F.col("visit") == F.col("refVisit")).select(*place)
-    return spectra.where(F.col("visit") != F.col("refVisit")).join(reference, place, "left_semi")
+    reference = known.withColumnRenamed("visit", "refVisit")
+    return spectra.where(F.col("visit") != F.col("refVisit")).join(reference, [*place, "refVisit"], "left_semi")
 
 
 def validate_groups(inputs: DataFrame, group: str = "job") -> DataFrame:
