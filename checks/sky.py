@@ -255,3 +255,43 @@ def _(v):
 def _(v):
     rows = K.sky_columns(v.spectra).groupBy(*DS).agg(F.count("chi").alias("n"), F.avg("chi").alias("chi"))
     return same_value_or_error(rows.withColumn("blockSize", F.lit(20)), ["visit", "spectrograph"], "blockSize")
+
+
+# Aggregates handed in by the caller.
+@case(
+    "reference_of_quantile", "Q11 G35", "spectra",
+    f"WITH {SKY}, {reference_sql('r', 'sky + flux')} SELECT {DS_SQL}, wavelength, count(value) AS fibers, quantile_cont(value, 0.9) AS value FROM r_on GROUP BY ALL",
+    "wavelength value",
+)
+def _(v):
+    return K.build_reference(K.sky_columns(v.spectra), "none", 0.9)
+
+
+@case(
+    "reference_of_function", "Q11 G35", "spectra",
+    f"WITH {SKY}, {reference_sql('r', 'chi')} SELECT {DS_SQL}, wavelength, count(value) AS fibers, max(abs(value)) AS value FROM r_on GROUP BY ALL",
+    "wavelength value",
+)
+def _(v):
+    return K.build_reference(K.sky_columns(v.spectra), "chi", lambda c: F.max(F.abs(c)))
+
+
+@case(
+    "aggregates_by_brightness", "Q11 G36", "spectra",
+    f"WITH {RANK} SELECT visit, arm, spectrograph, ranked_bin, quantile_cont(chi, 0.1) AS low, avg(chi) AS mean, quantile_cont(chi, 0.9) AS high, stddev_samp(chi) AS spread FROM lb GROUP BY ALL", "low mean high spread",
+)
+def _(v):
+    how = {"low": 0.1, "mean": F.avg, "high": 0.9, "spread": F.stddev_samp}
+    return K.aggregates_by_brightness(K.brightness_bins(K.sky_columns(v.spectra)), how)
+
+
+@case(
+    "chi_heat_map_of_quantile", "Q11 R4", "spectra",
+    f"""WITH {SKY}, c AS (SELECT {DS_SQL}, fiberId, CAST(floor(wavelength) AS INT) AS wave_row, quantile_cont(chi, 0.75) AS chi FROM sk WHERE chi IS NOT NULL GROUP BY ALL),
+    e AS (SELECT {DS_SQL}, min(wave_row) AS a, max(wave_row) AS b FROM c GROUP BY ALL), f AS (SELECT DISTINCT {DS_SQL}, fiberId FROM c),
+    d AS (SELECT {DS_SQL}, fiberId, CAST(unnest(range(a, b + 1)) AS INT) AS wave_row FROM f JOIN e USING ({DS_SQL}))
+    SELECT {DS_SQL}, fiberId, wave_row, chi FROM d LEFT JOIN c USING ({DS_SQL}, fiberId, wave_row)""",
+    "chi",
+)
+def _(v):
+    return K.heat_map(K.sky_columns(v.spectra), how=0.75)

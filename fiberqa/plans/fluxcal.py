@@ -15,6 +15,7 @@ from ..operators.normalization import against_median
 from ..operators.ordering import group_stats
 from ..operators.photometry import design_flux, magnitude_differences, synth_flux
 from ..operators.reshape import spread
+from ..operators.spectra import each_pixel, spectrum_stats
 from ..operators.windows import first_per_key
 from ..sources.frames import cut, fiber_keys
 
@@ -133,6 +134,17 @@ def fiber_sn(
     return group_stats(rows, keys, quantiles={"SN": ("__sn", 0.5)})
 
 
+def fiber_sn_of_arrays(spectra: DataFrame, window: tuple[float, float] = SN_WINDOW, noise: str = "covar0") -> DataFrame:
+    """:func:`fiber_sn` of spectra stored as arrays, without a shuffle."""
+
+    def sn(w, flux, mask, variance):
+        inside = (w > window[0]) & (w < window[1]) & (mask == 0) & (variance > 0)
+        return F.when(inside, T.ratio(flux, F.sqrt(F.when(variance > 0, variance))))
+
+    rows = spectra.withColumn("__sn", each_pixel(["wavelength", "flux", "mask", noise], sn))
+    return spectrum_stats(rows, "__sn", {"SN": 0.5}).drop("__sn")
+
+
 def merged_sn(pixels: DataFrame, keys: Sequence[str] = ("visit", "fiberId"), window: tuple[float, float] = SN_WINDOW) -> DataFrame:
     """S/N of the counts of :func:`merged_pixels`, so of accepted standards only."""
     return fiber_sn(pixels.withColumn("flux", F.col("counts")), keys, window)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from ..operators.lines import DATASET
 from ..operators.ordering import average_rank, group_stats, percent_rank_of, ranked
 from ..operators.reshape import dense_rows
 from ..operators.sampling import split_fibers
+from ..operators.spectra import each_pixel, spectrum_stats
+from ..operators.summaries import Aggregate, summarise
 from ..operators.windows import mean_of_others, median_of_others
 from ..sources.frames import cut, fiber_keys
 
@@ -63,9 +65,37 @@ def chi_stats(rows: DataFrame, keys: Sequence[str] = DATASET) -> DataFrame:
     return out.withColumn("fiberChiIQR", (F.col("q75") - F.col("q25")) * T.IQR_ROBUST).drop("q25", "q75")
 
 
-def heat_map(rows: DataFrame, keys: Sequence[str] = DATASET, value: str = "chi", how: Column | None = None) -> DataFrame:
-    """Mean (or ``how``) of chi per fiber and whole wavelength, gaps included."""
+def sky_arrays(spectra: DataFrame) -> DataFrame:
+    """Arrays ``chi`` and ``chi_poisson`` beside the stored ones, NULL at unusable pixels."""
+    names = ["flux", "sky", "variance", "mask"]
+
+    def chi(flux, sky, variance, mask):
+        return S.chi(flux, variance, S.usable_sky(flux, sky, variance, mask))
+
+    def poisson(flux, sky, variance, mask):
+        return S.chi_poisson(flux, sky, S.usable_sky(flux, sky, variance, mask))
+
+    return spectra.withColumns({"chi": each_pixel(names, chi), "chi_poisson": each_pixel(names, poisson)})
+
+
+def chi_stats_of_arrays(spectra: DataFrame, column: str = "chi") -> DataFrame:
+    """:func:`chi_stats` of spectra stored as arrays, without a shuffle."""
+    out = spectrum_stats(
+        sky_arrays(spectra), column, {"q25": 0.25, "fiberChiMedian": 0.5, "q75": 0.75}, "fiberChiMean", "fiberChiStd"
+    )
+    return out.withColumn("fiberChiIQR", (F.col("q75") - F.col("q25")) * T.IQR_ROBUST).drop("q25", "q75")
+
+
+def heat_map(
+    rows: DataFrame, keys: Sequence[str] = DATASET, value: str = "chi", how: Column | Aggregate | None = None
+) -> DataFrame:
+    """Mean (or ``how``) of chi per fiber and whole wavelength, gaps included. ``how`` may be a
+    finished aggregate or an :data:`fiberqa.operators.summaries.Aggregate`.
+    """
     binned = rows.where(F.col(value).isNotNull()).withColumn("wave_row", S.wave_row("wavelength"))
+    if how is not None and not isinstance(how, Column):
+        cells = summarise(binned, [*keys, "fiberId", "wave_row"], value, {value: how})
+        return dense_rows(cells, keys, "fiberId", "wave_row", value, F.first(value), value)
     return dense_rows(binned, keys, "fiberId", "wave_row", value, how if how is not None else F.avg(value), value)
 
 
@@ -104,10 +134,10 @@ def reference_grid(rows: DataFrame, keys: Sequence[str] = DATASET) -> DataFrame:
 
 
 def build_reference(
-    rows: DataFrame, model: str = "residuals", func: str = "mean", keys: Sequence[str] = DATASET
+    rows: DataFrame, model: str = "residuals", func: str | Aggregate = "mean", keys: Sequence[str] = DATASET
 ) -> DataFrame:
     """Reference spectrum per dataset: each fiber interpolated to the longest fiber's grid, then
-    mean, median or quadrature sum over the fibers.
+    mean, median, quadrature sum or a given aggregate over the fibers.
 
     A grid has no more points than the detector has rows, so the interpolated table is about
     as large as the spectra.
@@ -121,6 +151,8 @@ def build_reference(
     knots = usable.select(*keys, "fiberId", "wavelength", "__m")
     on_grid = interpolate(cut(grid), knots, [*keys, "fiberId"], "wavelength", "__m", "value")
     group = [*keys, "wavelength"]
+    if not isinstance(func, str):
+        return summarise(on_grid, group, "value", {"fibers": F.count, "value": func})
     if func == "median":
         return group_stats(on_grid, group, [F.count("value").alias("fibers")], {"value": ("value", 0.5)})
     how = {"mean": F.avg("value"), "quadrature": T.quadrature_sum("value")}[func]
@@ -128,12 +160,15 @@ def build_reference(
 
 
 def residual_against_sky(
-    rows: DataFrame, keys: Sequence[str] = DATASET, fraction: float = 0.1, seed: int = 0, column: str = "residuals"
+    rows: DataFrame, keys: Sequence[str] = DATASET, fraction: float = 0.1, seed: int = 0, column: str = "residuals",
+    func: str | Aggregate = "median",
 ) -> DataFrame:
-    """Median of ``column`` over test fibers, with the reference fibers' sky on the same grid."""
+    """Median (or ``func``) of ``column`` over test fibers, with the reference fibers' sky on the
+    same grid, combined alike.
+    """
     split = cut(split_fibers(rows.where("usable"), keys, fraction=fraction, seed=seed))
-    sky = build_reference(split.where("isReference"), "none", "median", keys)
-    test = build_reference(split.where(~F.col("isReference")), column, "median", keys)
+    sky = build_reference(split.where("isReference"), "none", func, keys)
+    test = build_reference(split.where(~F.col("isReference")), column, func, keys)
     return interpolate(
         test.select(*keys, "wavelength", "value"), sky.select(*keys, "wavelength", F.col("value").alias("sky")),
         keys, "wavelength", "sky",
@@ -165,6 +200,13 @@ def chi_by_brightness(binned: DataFrame, by: Sequence[str] = (*DATASET, "ranked_
     return out.withColumn("robustRms", (F.col("q75") - F.col("q25")) * T.IQR_ROBUST).drop("q25", "q75")
 
 
+def aggregates_by_brightness(
+    binned: DataFrame, aggregates: Mapping[str, Aggregate], by: Sequence[str] = (*DATASET, "ranked_bin"), column: str = "chi"
+) -> DataFrame:
+    """Given aggregates of chi per brightness bin."""
+    return summarise(binned, by, column, aggregates)
+
+
 def reference_brightness(
     rows: DataFrame, column: str = "chi", keys: Sequence[str] = DATASET, n: int = 10, seed: int = 0, fraction: float = 0.1
 ) -> DataFrame:
