@@ -32,6 +32,8 @@ INPUT_TYPES = {
     "norms": ("instrument", "visit", "arm"),
 }
 HEADER_CARDS = ("HST", "INSROT", "AZIMUTH")
+# Into how many blocks the fibers of the instrument are dealt.
+BLOCKS = 64
 
 
 def _by_arm(values: dict[str, float], arm: str = "arm") -> Column:
@@ -133,13 +135,15 @@ def fiber_sigma(ratios: DataFrame, keys: Sequence[str] = DATASET, subtract_error
 def fiber_table(sigma: DataFrame, fibers: DataFrame, keys: Sequence[str] = ("visit", "arm")) -> DataFrame:
     """Sigma of every fiber of the bundle table in every job, with bundle group and spectrograph.
 
-    A fiber that a job did not observe has spectrograph 0 there. The bundle table has as many
-    rows as the instrument has fibers, so it is packed into one array that each job unpacks.
+    A fiber that a job did not observe has spectrograph 0 there. Every job meets every fiber, by
+    an equal join on blocks of fibers, so no side has to be small.
     """
     keys = list(keys)
     one = F.struct("fiberId", "mtp_A", bundle_group("mtp_A").alias("mtpGroup"))
-    packed = fibers.select("fiberId", "mtp_A").distinct().agg(F.collect_list(one).alias("__all"))
-    jobs = sigma.select(*keys).distinct().crossJoin(F.broadcast(packed)).select(*keys, F.inline("__all"))
+    named = fibers.select("fiberId", "mtp_A").distinct().withColumn("__block", F.pmod(F.hash("fiberId"), F.lit(BLOCKS)))
+    blocks = named.groupBy("__block").agg(F.collect_list(one).alias("__all"))
+    jobs = sigma.select(*keys).distinct().withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
+    jobs = jobs.join(blocks, "__block").select(*keys, F.inline("__all"))
     observed = sigma.select(*keys, "fiberId", F.col("spectrograph").alias("SM"), "sigma", "sigma_std")
     return jobs.join(observed, [*keys, "fiberId"], "left").withColumn("SM", F.coalesce("SM", F.lit(0)))
 
