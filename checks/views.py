@@ -95,7 +95,7 @@ SELECT visit, fiberId, pix, wavelength, flux, norm, mask, CASE WHEN pix % 17 = 0
 FROM (
   SELECT CAST(1000 + v AS INT) AS visit, CAST(f AS INT) AS fiberId, CAST(p AS INT) AS pix, 420.0D0 + p * 5.0D0 AS wavelength,
     (20000.0D0 + f % 1000 * 9.0D0 + p * 4.0D0 + s % 101) * (4.0D0 + (p * 7 + f * 3 + v) % 50 / 10.0D0) AS flux, 4.0D0 + (p * 7 + f * 3) % 50 / 10.0D0 AS norm,
-    4.0D0 + (f * 7 + v) % 29 + p % 5 / 10.0D0 AS snr,
+    4.0D0 + (f * 5 + v * 7) % 29 + p % 5 / 10.0D0 AS snr,
     CAST(CASE WHEN (f + p) % 31 = 0 THEN 1 WHEN (f + p) % 31 = 7 THEN 8 WHEN (f + p) % 31 = 9 THEN 2 WHEN (f + p) % 31 = 11 THEN 256 ELSE 0 END + CASE WHEN p % 3 = 0 THEN 16384 ELSE 0 END AS INT) AS mask
   FROM (SELECT l_linenumber % 3 AS v, l_suppkey AS f, l_partkey % 100 AS p, sum(floor(l_extendedprice * 100.0D0 + 0.5D0)) AS s
     FROM {{lineitem}} GROUP BY l_linenumber % 3, l_suppkey, l_partkey % 100) AS g
