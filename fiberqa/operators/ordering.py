@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.frames import cut, finite, join_per_group, one_exposure
+from ..sources.frames import cut, finite, join_per_group, one_exposure, small
 from .placement import PARTITION_BITS, null_safe, placed, sorted_ranges
 
 FINE = 1 << 20
@@ -232,13 +232,17 @@ def quartiles(column: str, prefix: str) -> dict[str, tuple[str, float]]:
     return {f"{prefix}25": (column, 0.25), f"{prefix}50": (column, 0.5), f"{prefix}75": (column, 0.75)}
 
 
-def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+def ranked(df: DataFrame, keys: Sequence[str], column: str, bounded: bool | None = None) -> DataFrame:
     """Add ``below`` (rows of the group with a smaller value), ``ties`` (rows with the same
     value, itself included) and ``n`` (rows with a value). NULL values get NULL.
+
+    ``bounded`` says whether a task may hold the rows of a group; without it, whether the keys
+    name one spectrum. In other groups equal values are counted before anything is put in order,
+    and few distinct values are ranked without moving the rows.
     """
     keys = list(keys)
     df = finite(df, [column])
-    if one_exposure(keys):
+    if (one_exposure(keys) and "fiberId" in keys) if bounded is None else bounded:
         group = Window.partitionBy(*keys)
         return (
             df.withColumn("n", F.when(F.col(column).isNotNull(), F.count(column).over(group)))
@@ -248,6 +252,15 @@ def ranked(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
                 F.when(F.col(column).isNotNull(), F.rank().over(group.orderBy(F.col(column).asc_nulls_last())) - 1).cast("long"),
             )
         )
+    # Read again below: the values must be the same each time.
+    df = cut(df)
+    counts = cut(df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("__x")).agg(F.count(F.lit(1)).alias("ties")))
+    if small(counts):
+        group = Window.partitionBy(*keys)
+        table = counts.withColumn("n", F.sum("ties").over(group)).withColumn("below", F.sum("ties").over(_running(group.orderBy("__x"))) - F.col("ties"))
+        table = _renamed(cut(table.select(*keys, "__x", "n", "ties", "below")), [*keys, "__x"])
+        same = null_safe(df, table, keys, "__k_") & (df[column] == table["__k___x"])
+        return df.join(F.broadcast(table), same, "left").drop(*[f"__k_{k}" for k in [*keys, "__x"]])
     rows = sorted_ranges(df, [*[F.col(k).asc_nulls_first() for k in keys], F.col(column).asc_nulls_last()])
     return _ranks(rows, keys, column).drop("__at", "__range")
 
@@ -305,10 +318,10 @@ def average_rank(below: Column | str = "below", ties: Column | str = "ties") ->
     return b + (t + 1) / 2.0
 
 
-def percent_rank_of(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
-    """Average rank over the number of values, in percent."""
+def percent_rank_of(df: DataFrame, keys: Sequence[str], column: str, out: str, bounded: bool | None = None) -> DataFrame:
+    """Average rank over the number of values, in percent; ``bounded`` as in :func:`ranked`."""
     value = average_rank() * 100.0 / F.col("n")
-    return ranked(df, keys, column).withColumn(out, value).drop("n", "ties", "below")
+    return ranked(df, keys, column, bounded).withColumn(out, value).drop("n", "ties", "below")
 
 
 def first_come_rank(df: DataFrame, keys: Sequence[str], column: str, ties_by: Sequence[str], out: str) -> DataFrame:

@@ -18,7 +18,7 @@ from ..operators.sampling import split_fibers
 from ..operators.spectra import each_pixel, spectrum_stats
 from ..operators.summaries import Aggregate, summarise
 from ..operators.windows import mean_of_others, median_of_others
-from ..sources.frames import cut, fiber_keys
+from ..sources.frames import cut, fiber_keys, one_exposure
 
 SALTS = 32
 
@@ -212,7 +212,8 @@ def reference_brightness(
 ) -> DataFrame:
     """Reference chi spectrum of the test fibers binned by the sky brightness rank."""
     both = residual_against_sky(rows, keys, fraction, seed, column).withColumnRenamed("value", column)
-    out = percent_rank_of(cut(both), keys, "sky", "ranked")
+    # One spectrum for each dataset.
+    out = percent_rank_of(cut(both), keys, "sky", "ranked", one_exposure(keys))
     out = equal_width_bin(cut(out), keys, "ranked", n, "bin")
     return out.withColumn("ranked_bin", bin_label("bin", n))
 

@@ -54,6 +54,11 @@ def _limit(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(name, str(default)))
 
 
+def small(df: DataFrame) -> bool:
+    """Whether ``df`` may be broadcast, by :func:`estimated_bytes`."""
+    return estimated_bytes(df) <= _limit(df, BROADCAST_BYTES, DEFAULT_BROADCAST_BYTES)
+
+
 def one_exposure(keys: Sequence[str]) -> bool:
     """Whether a group of these keys lies in one exposure.
 
@@ -69,9 +74,13 @@ def join_per_group(rows: DataFrame, table: DataFrame, keys: Sequence[str], how:
 
     A table of a checked small size is broadcast. A larger one is repeated a few times, and
     each task's rows of a group meet one of the copies, so that a group spreads over tasks.
+    An estimate that grows with the input of an aggregation is no size: such a table is written
+    first.
     """
     keys = list(keys)
-    if estimated_bytes(table) <= _limit(table, BROADCAST_BYTES, DEFAULT_BROADCAST_BYTES):
+    if not small(table):
+        table = cut(table)
+    if small(table):
         return rows.join(F.broadcast(table), keys, how)
     copies = table.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
     salted = rows.withColumn("__copy", F.pmod(F.spark_partition_id(), F.lit(COPIES)))

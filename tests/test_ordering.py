@@ -149,3 +149,16 @@ def test_missing_infinite_and_large_values(spark, size):
     assert sorted((r["x"], r["below"], r["ties"]) for r in ranked(big, ["g"], "x").collect()) == [(2**53, 0, 1), (2**53 + 1, 1, 2), (2**53 + 1, 1, 2)]
     text = spark.createDataFrame([(1, "pear"), (1, "apple"), (1, "applet"), (1, "apple")], "g int, x string")
     assert sorted((r["x"], r["below"]) for r in ranked(text, ["g"], "x").collect()) == [("apple", 0), ("apple", 0), ("applet", 2), ("pear", 3)]
+
+
+def test_ranks_of_an_exposure_move_no_rows(spark):
+    """Few values in a large group: the values are ranked, the rows stay where they are."""
+    rows = [(1000, "b", i, float(i % 7)) for i in range(500)] + [(None, "b", -1, 2.0), (1000, "b", -2, None)]
+    df = spark.createDataFrame(rows, "visit int, arm string, i int, x double")
+    out = percent_rank_of(df, ["visit", "arm"], "x", "pct")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+    got = {r["i"]: r["pct"] for r in out.collect()}
+    want = pd.Series([x for _, _, _, x in rows[:500]]).rank(pct=True) * 100
+    assert len(got) == 502 and got[-1] == 100.0 and got[-2] is None
+    assert [got[i] for i in range(500)] == pytest.approx(list(want), rel=1e-12)
