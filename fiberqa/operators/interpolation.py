@@ -40,7 +40,7 @@ def interpolate(
         # outside it from a small table with one row per piece.
         rows = rows.withColumn("__piece", F.shiftright(value_bin(F.col(x)), 10))
         place = [*keys, "__piece"]
-        along = Window.partitionBy(*keys).orderBy("__piece")
+        along, back = (Window.partitionBy(*keys).orderBy(o) for o in (F.col("__piece").asc(), F.col("__piece").desc()))
         ends = (
             rows.groupBy(*place)
             .agg(F.max("__at").alias("__last"), F.min("__at").alias("__first"))
@@ -50,15 +50,18 @@ def interpolate(
             )
             .withColumn(
                 "__to",
-                F.first("__first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)),
+                F.last("__first", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)),
             )
             .select(*place, "__from", "__to")
         )
         rows = rows.join(ends, place)
         carried = (F.col("__from"), F.col("__to"))
-    order = Window.partitionBy(*place).orderBy(x)
-    before = F.last("__at", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first("__at", ignorenulls=True).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    # Both fills run on from row to row, the second one from the far end: a frame that ends with
+    # the group would be gone through again for each of its rows.
+    before, after = (
+        F.last("__at", ignorenulls=True).over(Window.partitionBy(*place).orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        for o in (F.col(x).asc(), F.col(x).desc())
+    )
     rows = rows.withColumn("__lo", F.coalesce(before, carried[0])).withColumn("__hi", F.coalesce(after, carried[1]))
     value = lerp(F.col(x), F.col("__lo.x"), F.col("__lo.y"), F.col("__hi.x"), F.col("__hi.y"))
     value = F.when(F.col("__lo").isNull(), F.col("__hi.y")).when(F.col("__hi").isNull(), F.col("__lo.y")).otherwise(value)

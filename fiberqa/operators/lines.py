@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import has_any, is_trace
 from ..functions.stats import ratio
-from ..sources.frames import join_per_group
+from ..sources.frames import cut as written
+from ..sources.frames import join_per_group, small
 from .interpolation import interpolate
 
 DATASET = ("visit", "arm", "spectrograph")
@@ -137,13 +138,14 @@ def line_stages(
         out = out.withColumn("ok_centroid", F.col("ok_sn"))
 
     if isinstance(exclusion_radius, Column) or exclusion_radius > 0:
-        crowded = (
+        crowded = written(
             exclusion_zone(lines, keys, exclusion_radius)
             .where("excluded")
             .select(*keys, "wavelength", F.lit(True).alias("__crowded"))
         )
+        # Distinct wavelengths, which are few beside the lines.
         out = (
-            out.join(crowded, [*keys, "wavelength"], "left")
+            out.join(F.broadcast(crowded) if small(crowded) else crowded, [*keys, "wavelength"], "left")
             .withColumn("ok_zone", F.col("ok_centroid") & (F.col("__crowded").isNull() | trace))
             .drop("__crowded")
         )
@@ -170,16 +172,28 @@ def with_dispersion(
     keys: Sequence[str] = ("arm", "spectrograph", "fiberId"),
     row: str = "y",
     half: float = 0.5,
+    places: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``dispersion``: wavelength per pixel at the line's detector row, from a calibration
     sampled as (keys, row, wavelength) and interpolated on both sides of the row.
+
+    The calibration is met by the distinct places of the lines, both sides in one pass; whole
+    lines are only joined with the result. ``places`` may be a table that is cheaper to read and
+    has all places of the lines, and others.
     """
     keys, out = list(keys), lines.where(F.col(row).isNotNull())
-    for name, shift in (("__w0", -half), ("__w1", half)):
-        knots = calibration.select(*keys, F.col("row").alias("__row"), F.col("wavelength").alias(name))
-        out = interpolate(out.withColumn("__row", F.col(row) + shift), knots, keys, "__row", name)
+    at = (lines if places is None else places).select(*keys, F.col(row).alias("__at_row")).where(F.col("__at_row").isNotNull()).distinct()
+    sides = at.withColumn("__upper", F.explode(F.array(F.lit(False), F.lit(True))))
+    sides = sides.withColumn("__row", F.col("__at_row") + F.when(F.col("__upper"), half).otherwise(-half))
+    knots = calibration.select(*keys, F.col("row").alias("__row"), F.col("wavelength").alias("__w"))
+    found = interpolate(sides, knots, keys, "__row", "__w").groupBy(*keys, "__at_row")
+    ends = found.agg(F.max(F.when(~F.col("__upper"), F.col("__w"))).alias("__w0"), F.max(F.when(F.col("__upper"), F.col("__w"))).alias("__w1"))
     width = F.abs(F.col("__w1") - F.col("__w0")) / (2.0 * half)
-    return out.withColumn("dispersion", width).drop("__row", "__w0", "__w1")
+    widths = ends.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__at_row", width.alias("dispersion"))
+    same = F.col(row) == F.col("__at_row")
+    for k in keys:
+        same &= F.col(k) == F.col(f"__k_{k}")
+    return out.drop("dispersion").join(widths, same).drop("__at_row", *[f"__k_{k}" for k in keys])
 
 
 def measured_lines(lines: DataFrame) -> DataFrame:

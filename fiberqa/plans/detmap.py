@@ -74,7 +74,7 @@ def with_observation(
         lines = join_per_group(lines.drop("observationReason"), reasons, ["visit"], "left")
         lines = lines.withColumn("isScience", F.coalesce(F.col("observationReason") == SCIENCE, F.lit(False)))
     if calibration is not None and exclusion_pixels > 0:
-        at_center = dispersion_at_center(calibration).withColumn("exclusionRadius", F.col("dispersion") * exclusion_pixels)
+        at_center = cut(dispersion_at_center(calibration)).withColumn("exclusionRadius", F.col("dispersion") * exclusion_pixels)
         lines = join_per_group(lines.drop("exclusionRadius"), at_center.drop("dispersion"), ["arm", "spectrograph"], "left")
     return lines
 
@@ -106,14 +106,14 @@ def residual_data(
     rows = scrub(good_lines(lines, keys, is_science=is_science, **cuts))
     if status_names is not None:
         rows = rows.withColumn("status_name", S.status_name("status", status_names))
-    if calibration is not None:
-        rows = with_dispersion(rows, calibration)
     groups = [*keys, "status_type", "description"]
     rows = sigma_clip(rows, groups, {"xResid": "xResidOutlier", "yResid": "yResidOutlier"})
     if bundles is not None:
         rows = rows.join(bundles, "fiberId")
     keep = (F.col("isLine") & ~F.col("yResidOutlier")) | (F.col("isTrace") & ~F.col("xResidOutlier"))
-    return rows.where(keep)
+    rows = rows.where(keep)
+    # Last, so that only what is kept moves to its calibration, and once.
+    return rows if calibration is None else with_dispersion(rows, calibration, places=lines)
 
 
 def fit_stats(
