@@ -18,6 +18,7 @@ exact either way.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,13 +36,11 @@ LARGEST_EXPONENT = 1100
 def value_bin(x: Column, per_octave: int = FINE) -> Column:
     """Number of the range that holds ``x``; never falls as ``x`` grows.
 
-    Each power of two is cut into equal ranges. Fine ones are about six digits apart, so
+    Each power of two is cut into ranges of equal ratio. Fine ones are about six digits apart, so
     measurements that came from 32-bit floats have at most eight different values in one.
     """
-    size = F.abs(x)
-    exponent = F.floor(F.log2(size))
-    within = F.floor((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1.0) * float(per_octave))
-    number = (exponent + LARGEST_EXPONENT) * per_octave + within
+    # One logarithm, which never falls either.
+    number = F.floor(F.log(F.abs(x)) * (per_octave / math.log(2.0))) + LARGEST_EXPONENT * per_octave
     return F.when(x > 0, number).when(x < 0, -number).otherwise(F.lit(0)).cast("long")
 
 
@@ -94,6 +93,7 @@ def _pick(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, Callable[[
         .agg(F.count(F.lit(1)).alias("__c"))
         .withColumn("__bin", value_bin(F.col("__x")))
     )
+    counts = cut(counts)  # read twice, and a scan of all rows away
     bins = (
         counts.groupBy(*place, "__bin")
         .agg(F.sum("__c").alias("__b"))

@@ -166,7 +166,9 @@ def residual_against_sky(
     """Median (or ``func``) of ``column`` over test fibers, with the reference fibers' sky on the
     same grid, combined alike.
     """
-    split = cut(split_fibers(rows.where("usable"), keys, fraction=fraction, seed=seed))
+    # The split reads them twice.
+    rows = cut(rows.where("usable"))
+    split = cut(split_fibers(rows, keys, fraction=fraction, seed=seed))
     sky = build_reference(split.where("isReference"), "none", func, keys)
     test = build_reference(split.where(~F.col("isReference")), column, func, keys)
     return interpolate(
