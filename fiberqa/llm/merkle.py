@@ -57,7 +57,10 @@ def leaf_digests(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     and the leaf itself is claimed.
     """
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
-    changed = digest(*fields, F.translate(F.col("text").cast("string"), UPPER, LOWER))
+    text = F.col("text").cast("string")
+    # ``translate`` makes an object of every character, ``lower`` none where all are ASCII.
+    plain = F.octet_length(text) == F.char_length(text)
+    changed = digest(*fields, F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER)))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
